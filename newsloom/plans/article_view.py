@@ -70,8 +70,8 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
-def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The article view in raw shape, all documents and their whole texts."""
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id`` and the raw article columns: all documents, whole texts."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
     n_pages = table(spark, sf_dir, "pages").agg(F.count(F.lit(1))).scalar()
     docs = spread(table(spark, sf_dir, "documents")
@@ -89,6 +89,7 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(headline >= SHORT_FROM, head).otherwise(
         F.concat(head, F.lit(" - "), F.split_part("text", F.lit("."), F.lit(1))))
     rows = joined.select(
+        "doc_id",
         F.when(doc_id % 101 == 0, F.lit("")).otherwise(title).alias("title"),
         F.when(doc_id % 103 != 0, F.col("page_url")).alias("url"),
         F.when(doc_id % 19 != 0, F.concat(
@@ -109,4 +110,9 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(fetched).alias("fetched_at"),
     ).withColumn("canonical_url", canonicalize_url(F.col("url")))
     return rows.withColumn(
-        "article_id", article_id(F.col("canonical_url"), F.col("url"))).select(*RAW_COLUMNS)
+        "article_id", article_id(F.col("canonical_url"), F.col("url"))).select("doc_id", *RAW_COLUMNS)
+
+
+def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article view in raw shape."""
+    return articles(spark, sf_dir).select(*RAW_COLUMNS)
