@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,3 +24,15 @@ def groups(text: Column, pattern: str, count: int) -> Column:
     refs = mark.join(f"${i}" for i in range(1, count + 1))
     return F.when(text.rlike(pattern),
                   F.split(F.regexp_replace(text, pattern, refs), mark))
+
+
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lit_array(values: Iterable[str]) -> Column:
+    """Constant array of strings, parsed in one go: much cheaper to build than
+    one literal column per value."""
+    items = ", ".join(sql_text(v) for v in values)
+    return F.expr(f"array({items})" if items else "cast(array() as array<string>)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .binding import groups, let
+from .binding import groups, let, lit_array, sql_text
 
 # Zone names of RFC 822 and their offsets.
 ZONE_OFFSETS = {
@@ -23,8 +23,8 @@ _ISO = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?"
 
 
 def _rfc_timestamp(text: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for kv in ZONE_OFFSETS.items() for x in kv])
-    months = F.array(*[F.lit(m) for m in _MONTHS])
+    names = F.expr("map(" + ", ".join(sql_text(x) for kv in ZONE_OFFSETS.items() for x in kv) + ")")
+    months = lit_array(_MONTHS)
 
     def offset(zone: Column) -> Column:
         return (F.when(zone.rlike(r"^[+-]\d{4}$"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..lexicon import (DEFAULT_LEXICON, FINANCE_SECTION, FINANCE_TOPICS,
                        SECTION_OF_PILLAR, SECTION_TIE_ORDER, TOPIC_BOOSTS,
                        Lexicon, Term)
+from .binding import lit_array
 from .vocabulary import choose, count_of, has_any
 
 
@@ -164,7 +165,7 @@ def section_of(strengths: dict[str, Column], finance: Column, topics: Column) ->
     """The one report section an article belongs to."""
     strongest = F.greatest(*strengths.values())
     money = F.coalesce(
-        F.arrays_overlap(topics, F.array(*[F.lit(t) for t in FINANCE_TOPICS])), F.lit(False))
+        F.arrays_overlap(topics, lit_array(FINANCE_TOPICS)), F.lit(False))
     out = F.when(money & (finance >= 2) & (finance >= strongest), F.lit(FINANCE_SECTION))
     for pillar in SECTION_TIE_ORDER:
         out = out.when(strengths[pillar] == strongest, F.lit(SECTION_OF_PILLAR[pillar]))

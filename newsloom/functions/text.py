@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicon import DEFAULT_LEXICON, Lexicon
+from .binding import lit_array
 
 # Every character that counts as white space in feed text, the four ASCII
 # separators 0x1C-0x1F included.
@@ -54,7 +55,7 @@ def token_signature(title: Column, summary: Column,
     text = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "),
                             F.coalesce(F.substring(summary, 1, opening), F.lit(""))))
     words = F.regexp_extract_all(text, F.lit("[a-z0-9$]+"), F.lit(0))
-    stop = F.array(*[F.lit(w) for w in lexicon.stopwords])
+    stop = lit_array(lexicon.stopwords)
     kept = F.filter(words, lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
     return F.array_distinct(F.transform(kept, lambda w: F.regexp_replace(w, "s+$", "")))
 
@@ -62,11 +63,12 @@ def token_signature(title: Column, summary: Column,
 def extract_terms(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Acronyms, jargon phrases and emission scopes a text uses, sorted
     without regard to case."""
+    skipped = lit_array(lexicon.glossary_skip)
     acronyms = F.filter(
         F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{2,6})\b"), F.lit(1)),
-        lambda a: ~a.isin(*lexicon.glossary_skip))
+        lambda a: ~F.array_contains(skipped, a))
     low = F.lower(text)
-    phrases = F.filter(F.array(*[F.lit(p) for p in lexicon.glossary_phrases]),
+    phrases = F.filter(lit_array(lexicon.glossary_phrases),
                        lambda p: F.contains(low, p))
     digits = F.array_sort(F.array_distinct(
         F.regexp_extract_all(text, F.lit(r"(?iU)\bscope\s*([123])\b"), F.lit(1))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .binding import groups, let
+from .binding import groups, let, lit_array
 
 # Query parameters that only track where a reader came from.
 TRACKING_PREFIXES = ("utm_", "ito", "at_")
@@ -32,7 +32,7 @@ def encode_component(text: Column) -> Column:
 
 def _is_tracking(key: Column) -> Column:
     low = F.lower(key)
-    hit = low.isin(*TRACKING_KEYS)
+    hit = F.array_contains(lit_array(TRACKING_KEYS), low)
     for prefix in TRACKING_PREFIXES:
         hit = hit | low.startswith(prefix)
     return hit
@@ -55,10 +55,10 @@ def _rebuild(p: Column) -> Column:
     host = F.regexp_replace(F.lower(p["host"]), r"^www\.", "")
     bare = F.regexp_replace(p["path"], "/+$", "")
     path = F.when(bare == "", F.lit("/")).otherwise(bare)
-    rootless = p["scheme"].isin(*_SCHEMES_WITH_HOST) & p["path"].startswith("/")
+    rootless = F.array_contains(lit_array(_SCHEMES_WITH_HOST), p["scheme"]) & p["path"].startswith("/")
     return F.concat(
         F.when(p["scheme"] == "", F.lit("")).otherwise(F.concat(p["scheme"], F.lit(":"))),
-        F.when((host != "") | rootless | ((bare == "") & p["scheme"].isin(*_SCHEMES_WITH_HOST)),
+        F.when((host != "") | rootless | ((bare == "") & F.array_contains(lit_array(_SCHEMES_WITH_HOST), p["scheme"])),
                F.concat(F.lit("//"), host)).otherwise(F.lit("")),
         path,
         F.when(p["query"] == "", F.lit("")).otherwise(F.concat(F.lit("?"), p["query"])))

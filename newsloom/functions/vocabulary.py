@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicon import Lexicon
+from .binding import lit_array, sql_text
 
 
 # Alternatives tried one by one before a character-class test splits them.
@@ -57,8 +58,9 @@ def words_in(text: Column, words: Iterable[str]) -> Column:
     longest = F.array_distinct(F.regexp_extract_all(
         text, F.lit(f"(?=({_shared_prefix_regex(vocabulary)}))"), F.lit(1)))
     nested = {w: [p for p in vocabulary if p != w and w.startswith(p)] for w in vocabulary}
-    inner = F.create_map(*[x for w, ps in nested.items()
-                           for x in (F.lit(w), F.array(*[F.lit(p) for p in (w, *ps)]))])
+    inner = F.expr("map(" + ", ".join(
+        f"{sql_text(w)}, array({', '.join(sql_text(p) for p in (w, *ps))})"
+        for w, ps in nested.items()) + ")")
     return F.array_distinct(F.flatten(F.transform(
         longest, lambda w: F.element_at(inner, w))))
 
@@ -81,9 +83,9 @@ def lexicon_hits(text: Column, lexicon: Lexicon) -> Column:
 
 def has_any(hits: Column, words: Iterable[str]) -> Column:
     """True if one of the words is among the hits."""
-    return F.arrays_overlap(hits, F.array(*[F.lit(w) for w in dict.fromkeys(words)]))
+    return F.arrays_overlap(hits, lit_array(dict.fromkeys(words)))
 
 
 def count_of(hits: Column, words: Iterable[str]) -> Column:
     """How many of the words are among the hits."""
-    return F.size(F.array_intersect(hits, F.array(*[F.lit(w) for w in dict.fromkeys(words)])))
+    return F.size(F.array_intersect(hits, lit_array(dict.fromkeys(words))))

@@ -8,6 +8,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import lit_array
+
 # Publishers with clocks or zones that are wrong may be this far ahead.
 FORWARD_SKEW = timedelta(hours=12)
 GATE_THRESHOLD = 0.15
@@ -57,7 +59,7 @@ def any_market(df: DataFrame, markets: Iterable[str] | None) -> DataFrame:
     wanted = sorted({m.upper() for m in markets or ()})
     if not wanted:
         return df
-    return df.filter(F.arrays_overlap("markets", F.array(*[F.lit(m) for m in wanted])))
+    return df.filter(F.arrays_overlap("markets", lit_array(wanted)))
 
 
 def one_market(df: DataFrame, market: str | None) -> DataFrame:
@@ -70,15 +72,15 @@ def search(df: DataFrame, text: str = "", market: str | None = None,
     """Browse filter over slim rows (see :func:`operators.ranking.slim`)."""
     needle = text.strip().lower()
     if market:
-        df = df.filter(F.col("primary_market") == market)
+        df = df.filter(F.col("m") == market)
     if pillar:
-        df = df.filter(F.array_contains("pillars", pillar))
+        df = df.filter(F.array_contains("p", pillar))
     if source:
-        df = df.filter(F.col("source") == source)
+        df = df.filter(F.col("s") == source)
     if needle:
         blank = F.lit(" ")
         hay = F.lower(F.concat(
-            F.coalesce("title", F.lit("")), blank, F.coalesce("summary", F.lit("")),
-            blank, F.array_join("regulations", " "), blank, F.array_join("topics", " ")))
+            F.coalesce("t", F.lit("")), blank, F.coalesce("sm", F.lit("")),
+            blank, F.array_join("r", " "), blank, F.array_join("tp", " ")))
         df = df.filter(F.contains(hay, F.lit(needle)))
     return df

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import lit_array
 from ..functions.urls import article_id, canonicalize_url
 from ..schemas import RAW_COLUMNS
 
@@ -63,7 +64,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def _choice(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(lit_array(values), (index + 1).cast("int"))
 
 
 def _iso(ts: Column) -> Column:
@@ -73,10 +74,10 @@ def _iso(ts: Column) -> Column:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id`` and the raw article columns: all documents, whole texts."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
-    n_pages = table(spark, sf_dir, "pages").agg(F.count(F.lit(1))).scalar()
+    n_pages = table(spark, sf_dir, "pages").count()  # answered from the file footers
     docs = spread(table(spark, sf_dir, "documents")
                   .select("doc_id", "text", "lang", "source", "n_chars"))
-    joined = docs.join(pages, docs.doc_id % n_pages == pages.page_id)
+    joined = docs.join(pages, docs.doc_id % F.lit(n_pages) == pages.page_id)
 
     doc_id, n = F.col("doc_id"), F.col("n_chars")
     headline, ending = n % 24, F.floor(n / 24) % 24

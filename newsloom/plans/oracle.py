@@ -248,18 +248,18 @@ CTES: dict[str, str] = {
         ['EU', 'US', 'GLOBAL'][no % 3 + 1] AS market,
         CASE WHEN no % 5 = 0 THEN 'regulator' WHEN no % 7 = 0 THEN 'ngo' ELSE 'media' END AS source_type
         FROM (SELECT DISTINCT source, CAST(substr(source, 4) AS INT) AS no FROM documents)""",
-    "fetch": """SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'src' || (user_id % 17) AS source_id, ts,
+    "fetches": """SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'src' || (user_id % 17) AS source_id, ts,
         CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'not_modified' ELSE 'ok' END AS outcome,
         CASE WHEN event_type = 'error' THEN 'HTTPError: ' || props END AS error FROM events""",
     "item": """SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INT), '%Y-%m-%d') AS run_id, source AS source_id,
         CASE WHEN doc_id % 17 <> 0 THEN CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INT)
           - CAST(n_chars % 11 - 1 AS INT) AS TIMESTAMP) END AS published_ts FROM documents""",
-    "run": "SELECT run_id, min(ts) AS started FROM fetch GROUP BY run_id",
+    "run": "SELECT run_id, min(ts) AS started FROM fetches GROUP BY run_id",
     "feed_run": """SELECT f.run_id, f.source_id, 'https://feeds.example/' || f.source_id || '/rss' AS feed_url, f.outcome,
         CASE WHEN f.outcome = 'ok' THEN coalesce(i.n, 0) END AS articles_parsed,
         CASE WHEN f.outcome = 'ok' THEN coalesce(i.kept, 0) ELSE 0 END AS articles, f.error
       FROM (SELECT run_id, source_id, max_by(outcome, ts) AS outcome,
-              max_by(coalesce(error, ''), ts) AS e, nullif(e, '') AS error FROM fetch GROUP BY ALL) f
+              max_by(coalesce(error, ''), ts) AS e, nullif(e, '') AS error FROM fetches GROUP BY ALL) f
       LEFT JOIN (SELECT i.run_id, i.source_id, count(*) AS n, count(*) FILTER (WHERE published_ts IS NULL
               OR published_ts BETWEEN started - INTERVAL 7 DAY AND started + INTERVAL 12 HOUR) AS kept
             FROM item i JOIN run r USING (run_id) GROUP BY ALL) i USING (run_id, source_id)""",
@@ -272,7 +272,7 @@ CTES: dict[str, str] = {
         CASE WHEN coalesce(l.outcome, 'failed') = 'failed' THEN coalesce(l.error, 'not fetched') END AS error
       FROM feed f
       LEFT JOIN (SELECT source_id, max_by(outcome, ts) AS outcome, max_by(error, ts) AS error
-                 FROM (SELECT *  REPLACE (coalesce(error, '') AS error) FROM fetch) GROUP BY 1) l ON l.source_id = f.id
+                 FROM (SELECT *  REPLACE (coalesce(error, '') AS error) FROM fetches) GROUP BY 1) l ON l.source_id = f.id
       LEFT JOIN (SELECT source_id, count(*) AS n, count(published_ts) AS dated,
                    strftime(max(published_ts), '%Y-%m-%dT%H:%M:%S+00:00') AS newest FROM item GROUP BY 1) i
         ON i.source_id = f.id""",
@@ -282,7 +282,8 @@ CTES: dict[str, str] = {
 def _terms(t: str) -> str:
     digits = f"list_sort(list_distinct(regexp_extract_all({t}, '(?i)\\bscope\\s*([123])\\b', 1)))"
     found = (f"list_distinct(list_concat(list_concat("
-             f"[x FOR x IN regexp_extract_all({t}, '\\b([A-Z]{{2,6}})\\b', 1) IF NOT list_contains({array(GLOSSARY_SKIP)}, x)], "
+             f"[x FOR x IN regexp_split_to_array({t}, '[^\\p{{L}}\\p{{N}}_]+') "
+             f"IF regexp_full_match(x, '[A-Z]{{2,6}}') AND NOT list_contains({array(GLOSSARY_SKIP)}, x)], "
              f"[x FOR x IN {array(GLOSSARY_PHRASES)} IF contains(lower({t}), x)]), "
              f"CASE WHEN len({digits}) > 0 THEN ['Scope ' || array_to_string({digits}, ' and ') || ' emissions'] ELSE [] END))")
     return f"[s.t FOR s IN list_sort([{{'k': lower(x), 't': x}} FOR x IN {found}])]"
@@ -323,7 +324,7 @@ CTES["strengths"] = f"""SELECT *, {_count(PILLARS['E'])} AS se,
 
 _ORDER = ("joined", "articles0", "articles", "lowered", "tagged", "enriched", "gated", "url_best", "title_best",
           "curated", "strengths", "sectioned", "ranked", "near", "walk", "kept", "story", "answer", "told", "bullet",
-          "block_text", "body", "wanted", "glossary", "report", "damaged", "feed", "fetch", "item", "run",
+          "block_text", "body", "wanted", "glossary", "report", "damaged", "feed", "fetches", "item", "run",
           "feed_run", "health")
 
 
@@ -497,7 +498,7 @@ def statements() -> dict[str, str]:
                   WHERE NOT list_contains(kept, late)) l
             JOIN ranked b ON b.rk = l.late JOIN ranked a ON a.rk = l.leader"""),
         "near_dup_collapse": with_ctes("kept", "SELECT article_id FROM ranked, kept WHERE list_contains(kept, rk)"),
-        "feed_items": with_ctes("articles", f"""SELECT article_id, {_ANCHOR.format(_relay_or_title())} AS title,
+        "feed_items": with_ctes("articles", f"""SELECT article_id, {_ANCHOR.format("title")} AS title,
               trim(url) AS url, canonical_url, substr({_ANCHOR.format("summary")}, 1, 2000) AS summary, author,
               {iso('published_ts')} AS published_at,
               {date_text()} AS published_raw, {barred('list_sort(list_distinct(categories))')} AS categories, source_id,
@@ -556,10 +557,6 @@ def statements() -> dict[str, str]:
     return sql
 
 
-def _relay_or_title() -> str:
-    return f"CASE WHEN no % 4 = 3 THEN {_relay_stripped('title', None)} ELSE title END"
-
-
 def date_text() -> str:
     """Date as the snapshot of a document writes it."""
     rfc = "strftime(published_ts, '%a, %d %b %Y %H:%M:%S +0000')"
