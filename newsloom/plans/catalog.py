@@ -372,7 +372,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = _xml(F.coalesce("url", F.lit("")))
     html = _xml(F.concat(F.lit("<p>"), F.col("summary"), F.lit("</p>")))
     shown = _xml(F.concat(F.col("title"), F.when(
-        F.substring("source_id", 4, 9).cast("int") % 4 == 3, F.lit(" - wire.example")).otherwise("")))
+        (F.col("title") != "") & (F.substring("source_id", 4, 9).cast("int") % 4 == 3),
+        F.lit(" - wire.example")).otherwise("")))
     labels = F.array_join(F.transform("categories", lambda c: F.concat(
         F.lit("<category> "), c, F.lit("</category>"))), "")
     rfc = F.coalesce(F.concat(F.lit("<pubDate>"), F.date_format(

@@ -328,6 +328,10 @@ _ORDER = ("joined", "articles0", "articles", "lowered", "tagged", "enriched", "g
           "feed_run", "health")
 
 
+# The walk reads these once per row of the ranking.
+_KIND = {"ranked": "MATERIALIZED", "near": "MATERIALIZED", "curated": "MATERIALIZED"}
+
+
 def _fill(text: str) -> str:
     for name, value in _FILL.items():
         text = text.replace("{" + name + "}", value)
@@ -336,7 +340,7 @@ def _fill(text: str) -> str:
 
 def with_ctes(last: str, select: str) -> str:
     """The query after all common table expressions that it needs."""
-    needed, todo = set(), [last]
+    needed, todo = set(), last.split()
     while todo:
         name = todo.pop()
         if name not in needed:
@@ -344,7 +348,7 @@ def with_ctes(last: str, select: str) -> str:
             body = " " + CTES[name].replace(",", " ").replace("(", " ").replace(")", " ") + " "
             todo += [n for n in _ORDER if n != name
                      and (f"FROM {n} " in body or f"JOIN {n} " in body or f"FROM {n}\n" in body or f"JOIN {n}\n" in body)]
-    parts = [f"{n} AS (\n{_fill(CTES[n])})" for n in _ORDER if n in needed]
+    parts = [f"{n} AS {_KIND.get(n, '')} (\n{_fill(CTES[n])})" for n in _ORDER if n in needed]
     kind = "WITH RECURSIVE" if "walk" in needed else "WITH"
     return f"{kind} " + ",\n".join(parts) + "\n" + _fill(select)
 
@@ -549,11 +553,9 @@ def statements() -> dict[str, str]:
         "parity_check": "SELECT CAST(NULL AS VARCHAR) AS article_id, CAST(NULL AS VARCHAR) AS side WHERE false",
     }
     ranked_top = ("SELECT t.rank, t.article_id, s.section FROM (" + tops + ") t JOIN sectioned s USING (article_id)")
-    text = with_ctes("kept", "SELECT section, string_agg(rank || ':' || article_id, '|' ORDER BY rank) AS stories FROM ("
-                     + ranked_top + ") GROUP BY 1")
-    extra = ",\n".join(f"{n} AS (\n{_fill(CTES[n])})" for n in ("strengths", "sectioned"))
-    head = text.index("ranked AS (")
-    sql["section_groups"] = text[:head] + extra + ",\n" + text[head:]
+    sql["section_groups"] = with_ctes(
+        "kept sectioned", "SELECT section, string_agg(rank || ':' || article_id, '|' ORDER BY rank) AS stories FROM ("
+        + ranked_top + ") GROUP BY 1")
     return sql
 
 
