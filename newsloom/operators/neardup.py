@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import token_signature
 from ..lexicon import DEFAULT_LEXICON, Lexicon
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 
 THRESHOLD = 0.375
 
@@ -40,8 +40,8 @@ THRESHOLD = 0.375
 class Tuning:
     """Speed settings; none of them changes the result."""
 
-    frequent: int = 256     # a token in more signatures than this is frequent
-    pairs_up_to: int = 64   # stories with more frequent tokens avoid pair keys
+    frequent: int = 128     # a token in more signatures than this is frequent
+    pairs_up_to: int = 300  # stories with more frequent tokens avoid pair keys
     first_batch: int = 4096
     growth: int = 8
 
@@ -92,8 +92,9 @@ def _prepare(stories: DataFrame, threshold: float, tuning: Tuning) -> DataFrame:
         "id", "rank", F.transform("t", lambda x: x["token"]).alias("tokens"),
         size.alias("m"), F.size(F.filter("t", lambda x: x["df"] == 0)).alias("n_rare"),
         needed.alias("needed"))
-    return rows.withColumn(
-        "single", (F.col("needed") == 1) | (F.col("m") - F.col("n_rare") > tuning.pairs_up_to))
+    return rows.withColumns({
+        "single": (F.col("needed") == 1) | (F.col("m") - F.col("n_rare") > tuning.pairs_up_to),
+        "codes": F.transform("tokens", lambda t: F.xxhash64(t))})
 
 
 def _keys(rows: DataFrame, probing: bool, singles: bool) -> DataFrame:
@@ -102,18 +103,18 @@ def _keys(rows: DataFrame, probing: bool, singles: bool) -> DataFrame:
     m, n_rare, needed = F.col("m"), F.col("n_rare"), F.col("needed")
     none = F.array().cast("array<bigint>")
     reach = m - needed if probing else m
-    rare = F.slice("tokens", F.lit(1), F.least(n_rare, reach + 1))
+    rare = F.slice("codes", F.lit(1), F.least(n_rare, reach + 1))
     frequent_n = F.greatest(F.least(m, reach + 2) - n_rare, F.lit(0))
-    frequent = F.slice("tokens", n_rare + 1, frequent_n)
+    frequent = F.slice("codes", n_rare + 1, frequent_n)
     pair_keys = F.when(F.col("single"), none).otherwise(F.flatten(F.transform(
         frequent, lambda a, i: F.transform(
             F.slice(frequent, i + 2, F.greatest(F.size(frequent) - i - 1, F.lit(0))),
             lambda b: F.xxhash64(F.lit("pair"), a, b)))))
     parts = [F.transform(rare, lambda a: F.xxhash64(F.lit("one"), a)), pair_keys]
     if singles:
-        every = F.slice("tokens", n_rare + 1, F.greatest(m - n_rare, F.lit(0)))
+        every = F.slice("codes", n_rare + 1, F.greatest(m - n_rare, F.lit(0)))
         parts.append(F.transform(every, lambda a: F.xxhash64(F.lit("any"), a)))
-    return rows.select("id", "rank", "tokens", "m", "single",
+    return rows.select("id", "rank", "tokens", "codes", "m", "single",
                        F.explode(F.concat(*parts)).alias("key"))
 
 
@@ -126,8 +127,14 @@ def _joined(small: DataFrame, large: DataFrame, threshold: float,
     on = (F.col("s.key") == F.col("l.key")) & smaller_first
     if also is not None:
         on = on & also
+    # Whole-number codes settle most candidates much faster than text.  Equal
+    # tokens have equal codes, so the codes share at least as many elements,
+    # unless two tokens of one story collide: then only the text decides.
+    by_code = (overlap(F.col("s.codes"), F.col("l.codes")) / F.col("s.m") >= threshold)
+    collides = F.size(F.array_distinct("s.codes")) < F.col("s.m")
     near = overlap(F.col("s.tokens"), F.col("l.tokens")) / F.col("s.m") >= threshold
-    return s.join(l, on).filter(near)
+    # One condition, cheapest part first: Spark keeps the order.
+    return s.join(l, on & (by_code | collides) & near)
 
 
 def _pairs_within(rows: DataFrame, threshold: float, singles: bool) -> DataFrame:
@@ -158,17 +165,20 @@ def _resolve(pairs: DataFrame) -> DataFrame:
     neighbours are dropped.  The outcome equals the scan in rank order.
     """
     dropped = None
-    open_pairs = pairs
-    while not open_pairs.isEmpty():
-        early = open_pairs.select(F.col("early").alias("x")).distinct()
+    open_pairs, rounds = pairs, 0
+    while True:
         late = open_pairs.select(F.col("late").alias("x")).distinct()
-        safe = early.join(late, "x", "left_anti")
-        out = cut_lineage(open_pairs.join(safe, F.col("early") == F.col("x"), "left_semi")
+        # An open pair whose early story is nobody's late one: that one is safe.
+        out = cut_lineage(open_pairs.join(late, F.col("early") == F.col("x"), "left_anti")
                           .select(F.col("late").alias("x")).distinct(), "dropped")
+        if out.isEmpty():
+            break
         dropped = out if dropped is None else dropped.unionByName(out)
-        open_pairs = cut_lineage(
-            open_pairs.join(out, F.col("early") == F.col("x"), "left_anti")
-            .join(out, F.col("late") == F.col("x"), "left_anti"), "open-pairs")
+        open_pairs = (open_pairs.join(out, F.col("early") == F.col("x"), "left_anti")
+                      .join(out, F.col("late") == F.col("x"), "left_anti"))
+        rounds += 1
+        if rounds % 3 == 0:
+            open_pairs = cut_lineage(open_pairs, "open-pairs")
     if dropped is None:
         return pairs.select(F.col("late.id").alias("id"), F.col("early").alias("leader")).limit(0)
     kept_early = pairs.join(dropped, F.col("early") == F.col("x"), "left_anti")
@@ -186,7 +196,7 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
     keep that many stories.  Runs Spark jobs; the result is a stored table.
     """
     sigs = cut_lineage(signatures(df, rank, lexicon), "signatures")
-    rest = cut_lineage(_prepare(_fold_copies(sigs), threshold, tuning), "tokens")
+    rest = spread(cut_lineage(_prepare(_fold_copies(sigs), threshold, tuning), "tokens"))
     total, singles = rest.agg(F.count(F.lit(1)), F.coalesce(F.max("single"), F.lit(False))).first()
 
     cuts: list[int] = []
@@ -215,7 +225,7 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
         later = rest.filter(F.col("rank") > cut)
         gone = cut_lineage(_first_leader(leaders, later, threshold, singles), "near-leaders")
         links = links.unionByName(later.join(gone, "id"))
-        rest = cut_lineage(later.join(gone, "id", "left_anti"), "rest")
+        rest = spread(cut_lineage(later.join(gone, "id", "left_anti"), "rest"))
 
     done = links.select(F.col("id").alias("first_id"), F.col("leader.id").alias("leader"))
     scope = sigs if last_rank is None else sigs.filter(F.col("rank") <= last_rank)

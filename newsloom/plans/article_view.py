@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.binding import lit_array
 from ..functions.urls import article_id, canonicalize_url
 from ..schemas import RAW_COLUMNS
+from ..session import spread
 
 AS_OF = "2026-08-14 12:00:00"
 DAYS = 7
@@ -54,15 +55,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than cores.
-
-    A scan with enough splits, as any large table has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _choice(index: Column, values: list[str]) -> Column:
     return F.element_at(lit_array(values), (index + 1).cast("int"))
 

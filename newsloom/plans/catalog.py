@@ -16,11 +16,11 @@ from ..operators import (briefing, dedupe, filters, health, neardup, quality,
                          ranking, rollups, sections)
 from ..operators.enrichment import Features, enrich, with_timestamps
 from ..schemas import CURATED_COLUMNS, LIST_COLUMNS
-from ..session import cut_lineage, new_work_path
+from ..session import cut_lineage, new_work_path, spread
 from ..sources import curated as curated_store
 from ..sources import feed_documents, landing, registry
 from ..streaming import incremental
-from .article_view import AS_OF, DAYS, articles, raw_articles, spread, table
+from .article_view import AS_OF, DAYS, articles, raw_articles, table
 from .curate import curate, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +107,8 @@ def title_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times written the ways feeds write them, and read back."""
-    rows = table(spark, sf_dir, "events").select("event_id", F.date_trunc("second", "ts").alias("ts"))
+    rows = spread(table(spark, sf_dir, "events").select(
+        "event_id", F.date_trunc("second", "ts").alias("ts")))
     stamp = F.col("ts")
     written = {
         "rfc": F.date_format(stamp, "EEE, dd MMM yyyy HH:mm:ss '+0000'"),

@@ -56,3 +56,13 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     path = new_work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores.
+
+    For costly work on a small table.  A scan with enough splits, as any
+    large table has, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
