@@ -44,16 +44,15 @@ def by_title_and_day(df: DataFrame, min_key: int = MIN_TITLE_KEY) -> DataFrame:
     side, so a headline copied everywhere is no hot spot either.
     """
     short = F.length("title_key") < min_key
+    row = [F.col(c) for c in df.columns if c not in ("title_key", "published_date")]
     grouped = df.groupBy(
         "title_key", "published_date", F.when(short, F.col("dedupe_key")).alias("_own"),
-    ).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns
-                              if c not in ("title_key", "published_date")]),
-                   F.struct(*precedence())).alias("_best"),
+    ).agg(F.min_by(F.struct(*row, short.alias("_short")), F.struct(*precedence())).alias("_best"),
           F.count(F.lit(1)).alias("_n"))
-    # Sizes of the short groups are counted from the same aggregate.  Reading
-    # _best here keeps its columns, and so its shuffle, equal to the one
-    # below, which Spark then runs only once.
-    sizes = (grouped.filter(F.col("_own").isNotNull() & F.col("_best").isNotNull())
+    # Sizes of the short groups are counted from the same aggregate.  The test
+    # reads the winner, not the grouping key, so it cannot move below the
+    # aggregate: both uses then have equal shuffles, which Spark runs once.
+    sizes = (grouped.filter("_best._short")
              .groupBy(F.col("title_key").alias("_k"), F.col("published_date").alias("_d"))
              .agg(F.count(F.lit(1)).alias("_short_n"))
              .filter(F.col("_short_n") > 1))
@@ -61,4 +60,4 @@ def by_title_and_day(df: DataFrame, min_key: int = MIN_TITLE_KEY) -> DataFrame:
             .join(sizes, F.col("_own").isNotNull() & (F.col("title_key") == F.col("_k"))
                   & (F.col("published_date") == F.col("_d")), "left")
             .select("title_key", "published_date", "_best.*",
-                    F.coalesce("_short_n", "_n").alias("duplicate_count")))
+                    F.coalesce("_short_n", "_n").alias("duplicate_count")).drop("_short"))
