@@ -7,6 +7,7 @@ engine can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -679,6 +680,38 @@ def curated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "published_date", "ingest_date")
 
 
+@query
+def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup written with the others from the stored table, read back."""
+    base = new_work_path(spark, "rollups")
+    where = curated_store.write_rollups(stored_curated(spark, sf_dir), base)
+    return spark.read.parquet(where["by_topic"])
+
+
+@query
+def stored_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run statistics appended to their tables and read back."""
+    base = new_work_path(spark, "stats")
+    per_feed = cut_lineage(ingest_feed_stats(spark, sf_dir), "feed-stats")
+    curated_store.append_stats(per_feed, health.run_stats(per_feed), base)
+    return spark.read.parquet(f"{base}/run_stats").drop("failures")
+
+
+@query
+def ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles that ingest would land for a window of three days."""
+    return landing.keep_window(articles(spark, sf_dir), AS_OF, 3).select("doc_id", "published_at")
+
+
+@query
+def unexpired_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curation in which undated rows expire a day after they were fetched,
+    seen two days later."""
+    later = filters.utc(AS_OF) + timedelta(days=2)
+    rows = curate(raw_articles(spark, sf_dir), later, DAYS, undated_max_age_days=1)
+    return flat(rows.select("article_id", "source_id", "published_ts", "duplicate_count"))
+
+
 @query
 def incremental_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files tagged by a stream, then curated from the prepared table."""

@@ -549,9 +549,21 @@ def statements() -> dict[str, str]:
         "curated_round_trip": with_ctes("curated", _curated_select()),
         "curated_csv": with_ctes("curated", _curated_select(("article_id", *LIST_COLUMNS, "published_ts", "fetched_ts",
                                                              "event_ts", "published_date", "ingest_date"))),
+        "stored_rollup": None, "stored_run_stats": None,
+        "ingest_window": with_ctes("articles", """SELECT doc_id, published_at FROM articles WHERE published_ts IS NULL
+            OR published_ts BETWEEN as_of - INTERVAL 3 DAY AND as_of + INTERVAL 12 HOUR"""),
+        "unexpired_articles": with_ctes("enriched", f"""SELECT article_id, source_id, {stamp('published_ts')} AS published_ts, duplicate_count
+            FROM (SELECT *, count(*) OVER (PARTITION BY title_key, published_date) AS duplicate_count,
+              row_number() OVER (PARTITION BY title_key, published_date ORDER BY {{precedence}}) AS rn FROM (
+              SELECT * FROM enriched WHERE title <> '' AND url <> '' AND {{gate}}
+                AND published_ts BETWEEN as_of - INTERVAL 5 DAY AND as_of + INTERVAL 60 HOUR
+              QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY {{precedence}}) = 1))
+            WHERE rn = 1 OR length(title_key) < 15"""),
         "incremental_curation": with_ctes("curated", _curated_select()),
         "parity_check": "SELECT CAST(NULL AS VARCHAR) AS article_id, CAST(NULL AS VARCHAR) AS side WHERE false",
     }
+    sql["stored_rollup"] = sql["by_topic"]
+    sql["stored_run_stats"] = f"SELECT * EXCLUDE (failures) FROM ({sql['ingest_stats']})"
     ranked_top = ("SELECT t.rank, t.article_id, s.section FROM (" + tops + ") t JOIN sectioned s USING (article_id)")
     sql["section_groups"] = with_ctes(
         "kept sectioned", "SELECT section, string_agg(rank || ':' || article_id, '|' ORDER BY rank) AS stories FROM ("

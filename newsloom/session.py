@@ -17,7 +17,9 @@ def get_spark(app_name: str = "newsloom", **conf: str) -> SparkSession:
     builder = (SparkSession.builder.appName(app_name)
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # Feed snapshots can be large: few of them per transfer to Python.
+               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500"))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
