@@ -60,11 +60,15 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# More tasks than this do not pay for a table that fits a few splits.
+_SPREAD_LIMIT = 256
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than cores.
+    """Give the cores a share of a scan that has fewer splits than cores.
 
     For costly work on a small table.  A scan with enough splits, as any
     large table has, is left alone.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = min(scan.sparkSession.sparkContext.defaultParallelism, _SPREAD_LIMIT)
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +23,16 @@ OPTIONS = {"pathGlobFilter": "*.jsonl", "mode": "PERMISSIVE",
            "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
     """All runs of a landing zone, with their partition columns.
 
     Only ``*.jsonl`` files are read.  A line that is no valid row arrives with
-    its text in the corrupt column and everything else NULL.
+    its text in the corrupt column and everything else NULL.  ``since`` prunes
+    to folders landed from that day on; it is the caller's choice, as undated
+    articles of older runs are then not seen.
     """
-    return spark.read.schema(LANDING_SCHEMA).options(**OPTIONS).json(path)
+    rows = spark.read.schema(LANDING_SCHEMA).options(**OPTIONS).json(path)
+    return rows if since is None else rows.filter(F.col("ingest_date") >= F.lit(since))
 
 
 def raw_rows(landing: DataFrame) -> DataFrame:

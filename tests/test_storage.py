@@ -38,6 +38,8 @@ def test_landing_round_trip_with_bad_lines(spark, raw, tmp_path):
     assert differing_rows(landing.raw_rows(scan), raw(rows())).count() == 0
     counts = {r.run_id: (r.lines, r.corrupt) for r in landing.quarantine_counts(scan).collect()}
     assert counts == {"1": (6, 0), "2": (1, 1)}
+    assert landing.read_landing(spark, path, since=date(2026, 8, 15)).select("url").count() == 0
+    assert landing.read_landing(spark, path, since=date(2026, 8, 14)).select("url").count() == 7
     assert scan.filter("run_id = '1'").select("ingest_date").first()[0] == date(2026, 8, 14)
 
 
@@ -89,3 +91,12 @@ def test_incremental_equals_one_shot(spark, raw, tmp_path):
         got = curate_prepared(spark, f"{base}/prepared", as_of)
         assert got.count() > 0
         assert differing_rows(got, curate(everything, as_of)).count() == 0
+
+
+def test_statistics_are_appended(spark, tmp_path):
+    per_feed = spark.createDataFrame([("r1", "a", 1)], "run_id string, source_id string, articles bigint")
+    per_run = spark.createDataFrame([("r1", 1)], "run_id string, feeds_requested bigint")
+    for _ in range(2):
+        store.append_stats(per_feed, per_run, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/run_stats").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/feed_stats").count() == 2
