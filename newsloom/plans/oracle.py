@@ -568,6 +568,14 @@ def statements() -> dict[str, str]:
     sql["section_groups"] = with_ctes(
         "kept sectioned", "SELECT section, string_agg(rank || ':' || article_id, '|' ORDER BY rank) AS stories FROM ("
         + ranked_top + ") GROUP BY 1")
+    # Ranks, positions and sizes are 32-bit integers in Spark.
+    for name, columns in {
+        "briefing_top20": ("rank",), "briefing_top20_eu": ("rank",), "near_dup_pairs": ("shared", "smaller"),
+        "retry_prompts": ("rank",), "story_blocks": ("rank",), "report_glossary": ("position",),
+        "uncited_articles": ("rank",),
+    }.items():
+        casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in columns)
+        sql[name] = f"SELECT * REPLACE ({casts}) FROM ({sql[name]})"
     return sql
 
 
