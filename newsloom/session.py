@@ -25,23 +25,30 @@ def get_spark(app_name: str = "newsloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Work folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a local session, where driver and tasks share one machine, may fall
-    back to a temporary folder of its own.
+    It is read from ``spark.checkpoint.dir``, then from the checkpoint folder of
+    the context; no setting is changed.  Only a local session, where driver and
+    tasks share one machine, may fall back to a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="newsloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = context.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="newsloom-")
+    return _LOCAL_ROOTS[app]
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
