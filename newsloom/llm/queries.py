@@ -6,20 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import bpe, chat, licences, mixing, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = chat.with_probe(read(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.formatted(conversations))
+
+
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(read(spark, sf_dir, "documents"))
+
+
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(read(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_chat_format": op3_chat_format,
+    "op4_licence_scan": op4_licence_scan,
+    "op8_warc_salvage": op8_warc_salvage,
+    "op9_bpe": op9_bpe,
     "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chat_format": chat.SQL,
+    "op4_licence_scan": licences.sql(),
+    "op8_warc_salvage": warc.SQL,
     "op10_source_mixing": mixing.SQL,
 }
