@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licences, mixing, warc
+from . import bpe, chat, licences, mixing, simhash, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.report(read(spark, sf_dir, "documents"))
 
 
+def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(read(spark, sf_dir, "documents"))
+
+
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
@@ -36,6 +40,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
     "op4_licence_scan": op4_licence_scan,
+    "op7_simhash_golay": op7_simhash_golay,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_bpe": op9_bpe,
     "op10_source_mixing": op10_source_mixing,
