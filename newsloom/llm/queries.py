@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licences, mixing, simhash, warc
+from . import bpe, chat, licences, mixing, simhash, suffixes, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(read(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = chat.with_probe(read(spark, sf_dir, "conversations"))
     return chat.read_back(chat.formatted(conversations))
@@ -38,6 +42,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_licence_scan": op4_licence_scan,
     "op7_simhash_golay": op7_simhash_golay,
