@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licences, mixing, simhash, suffixes, warc
+from . import bpe, chat, embeddings, licences, mixing, quality, simhash, suffixes, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,15 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.report(read(spark, sf_dir, "documents"))
 
 
+def op5_itq_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked(read(spark, sf_dir, "embeddings"))
+
+
+def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(read(spark, sf_dir, "documents"))
 
@@ -45,6 +54,8 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_licence_scan": op4_licence_scan,
+    "op5_itq_embeddings": op5_itq_embeddings,
+    "op6_quality_knn": op6_quality_knn,
     "op7_simhash_golay": op7_simhash_golay,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_bpe": op9_bpe,
@@ -54,6 +65,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op3_chat_format": chat.SQL,
     "op4_licence_scan": licences.sql(),
+    "op5_itq_embeddings": embeddings.SQL,
     "op8_warc_salvage": warc.SQL,
     "op10_source_mixing": mixing.SQL,
 }
