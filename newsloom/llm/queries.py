@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embeddings, licences, mixing, quality, simhash, suffixes, warc
+from . import bpe, chat, embeddings, imatch, licences, mixing, quality, simhash, suffixes, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.report(read(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(read(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_imatch": op1_imatch,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_licence_scan": op4_licence_scan,
@@ -60,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_bpe": op9_bpe,
     "op10_source_mixing": op10_source_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
