@@ -10,7 +10,7 @@ Defined cases: a null text is the empty text and gives no ids; special tokens
 in a text become their own ids, as the vocabulary file says; equal texts give
 equal ids; rows are independent, so ties, repeats and other columns do not
 matter, and an empty table gives an empty result.  Memory in a task is bounded
-by one Arrow batch and a word cache of ``CACHE_WORDS`` words.
+by one Arrow batch and two caches of ``CACHE_WORDS`` words.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG_WORD = 96
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
+#: Documents of one output batch.
+SLICE = 256
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NONE = 1 << 60
 
@@ -204,19 +206,22 @@ def encoded(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(path)
-        for batch in batches:
-            packed = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
-            columns = [
-                batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
-                pa.array([hashlib.sha256(codec.decode(p).encode()).hexdigest() for p in packed])]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
-                values = np.frombuffer(b"".join(packed), "<i4")
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+        for whole in batches:
+            for first in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(first, SLICE)
+                packed = [codec.encode(t.as_py() or "") for t in batch.column(1)]
+                columns = [
+                    batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
+                    pa.array([hashlib.sha256(codec.decode(p).encode()).hexdigest()
+                              for p in packed])]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
+                    values = np.frombuffer(b"".join(packed), "<i4")
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
