@@ -23,7 +23,7 @@ DAYS = 7
 # so that copies of a document share them.
 STORIES: tuple[tuple[str, str, str], ...] = (
     ("Brussels adopts CSRD omnibus package", "The board welcomed the disclosure framework.", "Regulation|Reporting"),
-    ("SEC climate disclosure rule faces court ruling", "Washington lawyers expect a settlement.", "Law"),
+    ("Court hears the SEC on its climate disclosure rule", "Lawyers in Washington expect a settlement.", "Law"),
     ("Green bond issuance reaches record", "Investors raised two billion in capital.", "Finance|Bonds"),
     ("Football club signs striker", "Fans cheered in the stadium.", "Sport"),
     ("Offshore wind farm secures power purchase agreement", "The grid operator announced battery storage.", "Energy"),
@@ -43,7 +43,7 @@ STORIES: tuple[tuple[str, str, str], ...] = (
     ("Paris Agreement stocktake urges methane cuts", "Climate finance and adaptation lag behind.", "Climate"),
     ("UK SDR labels for funds", "Stewardship codes and proxy voting change.", "Finance"),
     ("Green claims directive withdrawn", "The European Parliament and the ECB comment.", "Policy"),
-    ("Quarterly earnings beat expectations", "Revenue rose on strong demand.", "Business"),
+    ("Bakery chain opens a third shop", "Customers queued before dawn.", "Business"),
     ("Climate CSRD", "Just transition plan and transition finance.", "Climate"),
     ("ESG", "Circular economy, biodiversity and governance.", ""),
 )
