@@ -16,9 +16,9 @@ constant of the plan; beyond, terms are joined with it.
 
 Defined cases: a null text is empty; texts without terms have an empty
 fingerprint, and two of them have likeness 1; equal texts have equal
-fingerprints; a null id sorts before all others; of rows with the same id, the
-one with the smallest text hash is the neighbour that the document before sees;
-an empty table gives an empty result; other columns are not looked at.
+fingerprints; a null id sorts before all others, as the least possible id; rows
+with the same id follow each other in the order of their text hashes; an empty
+table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,15 +26,17 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import numbered, text_of
+from .common import text_of
 
 #: Characters between terms: ASCII signs, general punctuation, no-break and wide space.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F  -⁯　]+"
 LITERAL_TERMS = 50_000
+#: Text in one of the ranges that documents are put in order by.
+RANGE_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -71,11 +73,11 @@ def lexicon(docs: DataFrame, band: Band = Band(), text_column: str = "text") ->
 
 
 def _in_lexicon(texts: DataFrame, terms: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace each text column by its sorted terms; all terms if none is in the band."""
-    stored = cut_lineage(terms, "lexicon")
-    size = stored.count()
+    """Replace each text column by its sorted terms; all terms if none is in the
+    band.  ``terms`` is a stored table."""
+    size = terms.count()
     if size <= LITERAL_TERMS:
-        known = json.dumps(sorted(r.term for r in stored.collect()))
+        known = json.dumps(sorted(r.term for r in terms.collect()))
         literal = F.from_json(F.lit(known), "array<bigint>")
         for name in columns:
             texts = texts.withColumn(f"_{name}_all", distinct_terms(F.col(name))).drop(name)
@@ -86,7 +88,7 @@ def _in_lexicon(texts: DataFrame, terms: DataFrame, columns: list[str]) -> DataF
                 f"_{name}_all", distinct_terms(F.col(name))).drop(name)
             found = (texts.select(F.col(f"_{name}_key").alias("_key"),
                                   F.explode(f"_{name}_all").alias("term"))
-                     .join(stored, "term").groupBy("_key").agg(F.collect_set("term").alias(name)))
+                     .join(terms, "term").groupBy("_key").agg(F.collect_set("term").alias(name)))
             texts = texts.join(found, F.col(f"_{name}_key") == F.col("_key"), "left").drop(
                 "_key", f"_{name}_key")
     for name in columns:
@@ -120,59 +122,72 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either > 0, same / either).otherwise(1.0)
 
 
-def prints(texts: DataFrame, columns: list[str], terms: DataFrame) -> DataFrame:
-    """Replace each text column by the parts of its fingerprint."""
-    out = _in_lexicon(texts, terms, columns)
-    return out.withColumns({name: hashed_subsets(F.col(name)) for name in columns})
+def with_prints(texts: DataFrame, columns: dict[str, str], terms: DataFrame) -> DataFrame:
+    """Add the parts of the fingerprint of each text column, under a new name."""
+    copies = texts.withColumns({new: F.col(old) for old, new in columns.items()})
+    out = _in_lexicon(copies, terms, list(columns.values()))
+    return out.withColumns({new: hashed_subsets(F.col(new)) for new in columns.values()})
 
 
-def edited(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_chars, text, edited_text, next_id and leads (whether the row is
-    the neighbour that others see).
+def _ranges(rows: DataFrame, range_bytes: int) -> str:
+    """The least (id, text hash) of each range of rows, as JSON: a few numbers
+    for every ``range_bytes`` of text."""
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    keys = rows.select("id", "hash").repartitionByRange(max(1, -(-total // range_bytes)), "id", "hash")
+    starts = (keys.groupBy(F.spark_partition_id().alias("range"))
+              .agg(F.min(F.struct("id", "hash")).alias("start")).select("start.*").collect())
+    return json.dumps([{"id": r.id, "hash": r.hash} for r in sorted(starts, key=tuple)])
 
-    Edited texts end in the first code points of the next document.  Only ids
-    are put in order; of a text, as much moves to the document before as that
-    one needs.
+
+def followed(rows: DataFrame, starts: str, carried: list[str]) -> DataFrame:
+    """Add ``next_<column>`` of the row that follows in the order of (id, hash);
+    the first row follows the last.
+
+    Texts are shuffled once, to the range they lie in; within a range the next
+    row is at hand, and the last one takes the first row of the next range.
     """
-    rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
-    marked = rows.select("doc_id", F.char_length("text").alias("n_chars"),
-                         F.xxhash64("text").alias("print"))
-    ids = marked.groupBy("doc_id").agg(F.min("print").alias("lead_print"),
-                                       F.max("n_chars").alias("most_chars"))
-    order = cut_lineage(numbered(ids, ["doc_id"], "document-ids"), "document-order")
-    count = order.count()
-    after = order.select(F.col("doc_id").alias("next_id"),
-                         F.pmod(F.col("position") - 1, F.lit(max(count, 1))).alias("position"))
-    before = order.select(F.col("doc_id").alias("prior_id"), F.col("most_chars").alias("prior_chars"),
-                          F.pmod(F.col("position") + 1, F.lit(max(count, 1))).alias("position"))
-    places = cut_lineage(order.join(after, "position").join(before, "position").select(
-        F.col("doc_id").alias("own_id"), "lead_print", "next_id", "prior_id", "prior_chars"),
-        "document-places")
-    placed = rows.join(places, F.col("doc_id").eqNullSafe(F.col("own_id")))
-    heads = (placed.where(F.xxhash64("text") == F.col("lead_print"))
-             .select("prior_id", F.substring("text", F.lit(1), F.floor(F.col("prior_chars") / 2)
-                                             .cast("int")).alias("head"))
-             .groupBy(F.col("prior_id").alias("headed_id")).agg(F.max("head").alias("head")))
+    kind = rows.schema["id"].dataType.simpleString()
+    bounds = F.from_json(F.lit(starts), f"array<struct<id:{kind},hash:bigint>>")
+    own = F.struct("id", "hash")
+    ranges = len(json.loads(starts))
+    placed = rows.withColumn("range", F.size(F.filter(bounds, lambda b: b <= own)) - 1)
+    order = Window.partitionBy("range").orderBy("id", "hash")
+    ahead = placed.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}
+                               | {"_last": F.lead("id").over(order).isNull()})
+    # As many rows as there are ranges.
+    heads = (rows.where(F.exists(bounds, lambda b: b == own))
+             .withColumn("range", F.pmod(F.size(F.filter(bounds, lambda b: b <= own)) - 2,
+                                         F.lit(max(ranges, 1))))
+             .dropDuplicates(["range"]).select(
+                 F.col("range").alias("_range"), *[F.col(c).alias(f"_head_{c}") for c in carried]))
+    return (ahead.join(heads, F.col("range") == F.col("_range"))
+            .withColumns({f"next_{c}": F.when(F.col("_last"), F.col(f"_head_{c}"))
+                          .otherwise(F.col(f"next_{c}")) for c in carried})
+            .drop("_range", "_last", "range", *[f"_head_{c}" for c in carried]))
+
+
+def report(docs: DataFrame, band: Band = Band(), id_column: str = "doc_id",
+           text_column: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Fingerprints of every text and of its edited text (whose end is the start
+    of the next document), and their likeness to each other and to the next."""
+    first = {"bigint": -(1 << 63), "int": -(1 << 31)}.get(
+        docs.schema[id_column].dataType.simpleString(), "")
+    rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text")).select(
+        "doc_id", F.coalesce("doc_id", F.lit(first)).alias("id"),
+        F.xxhash64("text").alias("hash"), "text")
+    terms = cut_lineage(lexicon(docs, band, text_column), "lexicon")
+    starts = _ranges(rows, range_bytes)
+    made = followed(with_prints(rows, {"text": "parts"}, terms), starts, ["text", "parts"])
     chars = F.char_length("text")
     half = F.floor(chars / 2).cast("int")
-    return (placed.join(heads, F.col("doc_id").eqNullSafe(F.col("headed_id")))
-            .select("doc_id", chars.cast("long").alias("n_chars"), "text",
-                    F.concat(F.substring("text", F.lit(1), chars - half),
-                             F.substring("head", F.lit(1), half)).alias("edited_text"),
-                    "next_id", (F.xxhash64("text") == F.col("lead_print")).alias("leads")))
-
-
-def report(docs: DataFrame, band: Band = Band()) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likeness to
-    each other and to the next document's."""
-    terms = lexicon(docs, band)
-    both = edited(docs).withColumn("edited_sha256", F.sha2("edited_text", 256))
-    made = cut_lineage(prints(both, ["text", "edited_text"], terms), "fingerprints")
-    ahead = (made.where("leads").select(F.col("doc_id").alias("ahead_id"),
-                                        F.col("text").alias("ahead"))
-             .dropDuplicates(["ahead_id"]))
-    return (made.join(ahead, F.col("next_id").eqNullSafe(F.col("ahead_id")))
-            .select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("text")).alias("fingerprint"),
-                    fingerprint(F.col("edited_text")).alias("edited_fingerprint"),
-                    likeness(F.col("text"), F.col("edited_text")).alias("near_edited"),
-                    likeness(F.col("text"), F.col("ahead")).alias("near_next")))
+    edited = made.select(
+        "doc_id", chars.cast("long").alias("n_chars"), "parts", "next_parts",
+        F.concat(F.substring("text", F.lit(1), chars - half),
+                 F.substring("next_text", F.lit(1), half)).alias("edited_text"))
+    both = with_prints(edited, {"edited_text": "edited_parts"}, terms)
+    return both.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprint(F.col("parts")).alias("fingerprint"),
+        fingerprint(F.col("edited_parts")).alias("edited_fingerprint"),
+        likeness(F.col("parts"), F.col("edited_parts")).alias("near_edited"),
+        likeness(F.col("parts"), F.col("next_parts")).alias("near_next"))

@@ -14,23 +14,22 @@ SPLIT = re.compile(imatch.BETWEEN)
 
 
 def collect(df) -> list:
-    return df.orderBy("doc_id", "n_chars").collect()
-
-
-def test_edited_texts(messy):
-    rows = messy.select("doc_id", "text").collect()
-    first = sorted({r.doc_id for r in rows}, key=lambda x: (x is not None, x or 0))
-    # Of rows with one id, the neighbour is one of them; the null rows differ.
-    texts = {i: {r.text or "" for r in rows if r.doc_id == i} for i in first}
-    after = dict(zip(first, first[1:] + first[:1]))
-    got = collect(imatch.report(messy))
-    assert len(got) == len(rows)
-    for r in got:
-        own = [t for t in texts[r.doc_id] if len(t) == r.n_chars]
-        possible = {hashlib.sha256((t[:len(t) - len(t) // 2] + n[:len(t) // 2]).encode()).hexdigest()
-                    for t in own for n in texts[after[r.doc_id]]}
-        assert r.edited_sha256 in possible
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    return sorted(df.collect(), key=str)
+
+
+@pytest.mark.parametrize("range_bytes", [1, 4000, 1 << 24])
+def test_edited_texts(messy, range_bytes):
+    rows = messy.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(
+        F.coalesce("text", F.lit(""))).alias("hash")).collect()
+    rows.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.hash))
+    expected = []
+    for r, after in zip(rows, rows[1:] + rows[:1]):
+        half = len(r.text) // 2
+        edited = r.text[:len(r.text) - half] + after.text[:half]
+        expected.append((r.doc_id, len(r.text), hashlib.sha256(edited.encode()).hexdigest()))
+    got = imatch.report(messy, range_bytes=range_bytes).collect()
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=str) == sorted(expected, key=str)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
 
 
 def test_equal_texts_have_equal_fingerprints(messy):
