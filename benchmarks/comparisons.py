@@ -62,14 +62,14 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> dict:
         neardup._fold_copies(sigs), neardup.THRESHOLD, neardup.Tuning()), "bench-tokens"))
     one = prepared.select("id", "tokens", F.explode("tokens").alias("key"))
     plain = (one.alias("s").join(one.alias("l"), (F.col("s.key") == F.col("l.key")) & (F.col("s.id") < F.col("l.id"))))
-    s, l = (neardup._keys(prepared, p, True) for p in (True, False))
+    s, l = (neardup._keys(prepared, p) for p in (True, False))
     keyed = s.alias("s").join(l.alias("l"), (F.col("s.key") == F.col("l.key")) & (
         (F.col("s.m") < F.col("l.m")) | ((F.col("s.m") == F.col("l.m")) & (F.col("s.id") < F.col("l.id")))))
     start = time.perf_counter()
     exact = plain.filter(neardup.is_near(F.col("s.tokens"), F.col("l.tokens"))).select("s.id", "l.id").distinct().count()
     plain_sec = round(time.perf_counter() - start, 3)
     start = time.perf_counter()
-    found = neardup._pairs_within(prepared, neardup.THRESHOLD, True).count()
+    found = neardup._pairs_within(prepared, neardup.THRESHOLD).count()
     return {"stories": prepared.count(), "plain_candidates": plain.count(), "keyed_candidates": keyed.count(),
             "plain_pairs": exact, "keyed_pairs": found, "plain_sec": plain_sec,
             "keyed_sec": round(time.perf_counter() - start, 3)}

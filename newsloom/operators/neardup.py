@@ -13,13 +13,15 @@ How this scales
 * Candidates come from equi-joins on keys.  Tokens are ordered rare ones first;
   if a story of m tokens needs o shared ones, some shared token stands among
   its first m-o+1 and two among its first m-o+2.  Rare tokens are keys on
-  their own; frequent ones only in pairs, which are far rarer.  That loses no
-  pair.  Stories where one shared token suffices, or with very many frequent
-  tokens, are compared through single tokens instead.
-* The ranking is worked off in growing batches (prefix-based greedy maximal
-  independent set).  Stories kept in one batch remove everything near them
-  from the rest in one join before the next batch looks for pairs, so a large
-  family of similar stories costs one comparison per member, not one per pair.
+  their own; frequent ones only in pairs, which are far rarer (a signature is
+  short, so its pairs are bounded).  That loses no pair.  Stories so short that
+  one shared token makes them near ask for single tokens, and only the tokens
+  they hold are offered one by one.
+* Stories are numbered in rank order and worked off in growing batches
+  (prefix-based greedy maximal independent set).  Stories kept in one batch
+  remove everything near them from the rest in one join before the next batch
+  looks for pairs, so a large family of similar stories costs one comparison
+  per member beyond the batch it starts in, also if all have the same score.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import token_signature
 from ..lexicon import DEFAULT_LEXICON, Lexicon
-from ..session import cut_lineage, spread
+from ..session import cut_lineage
+from .numbering import numbered
 
 THRESHOLD = 0.375
 
@@ -40,9 +43,8 @@ THRESHOLD = 0.375
 class Tuning:
     """Speed settings; none of them changes the result."""
 
-    frequent: int = 128     # a token in more signatures than this is frequent
-    pairs_up_to: int = 300  # stories with more frequent tokens avoid pair keys
-    first_batch: int = 4096
+    frequent: int = 128  # a token in more signatures than this is frequent
+    first_batch: int = 128
     growth: int = 8
 
 
@@ -75,58 +77,56 @@ def _fold_copies(sigs: DataFrame) -> DataFrame:
 
 def _prepare(stories: DataFrame, threshold: float, tuning: Tuning) -> DataFrame:
     """Order every signature's tokens and add the key material."""
-    each = stories.select("id", "rank", F.explode_outer("tokens").alias("token"))
-    frequent = (each.where("token IS NOT NULL").groupBy("token")
-                .agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > tuning.frequent))
+    m = F.size("tokens")
+    # Rounding down a hair can only lengthen the prefix.
+    needed = F.greatest(F.ceil(m * F.lit(threshold) - F.lit(1e-9)), F.lit(1)).cast("int")
+    each = stories.select("id", "rank", m.alias("m"), needed.alias("needed"),
+                          F.explode_outer("tokens").alias("token"))
+    held = (each.where("token IS NOT NULL").groupBy("token")
+            .agg(F.count(F.lit(1)).alias("df"), F.max(F.col("needed") == 1).alias("asked"))
+            .where(F.col("df") > tuning.frequent))
     # The list of frequent tokens is small unless the vocabulary is extreme;
     # adaptive execution broadcasts it only after measuring its size.
-    ordered = (each.join(frequent, "token", "left")
-               .groupBy("id", "rank")
-               .agg(F.array_sort(F.collect_list(F.when(
-                   F.col("token").isNotNull(),
-                   F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token")))).alias("t")))
-    size = F.size("t")
-    # Rounding down a hair can only lengthen the prefix.
-    needed = F.greatest(F.ceil(size * F.lit(threshold) - F.lit(1e-9)), F.lit(1)).cast("int")
-    rows = ordered.select(
-        "id", "rank", F.transform("t", lambda x: x["token"]).alias("tokens"),
-        size.alias("m"), F.size(F.filter("t", lambda x: x["df"] == 0)).alias("n_rare"),
-        needed.alias("needed"))
-    return rows.withColumns({
-        "single": (F.col("needed") == 1) | (F.col("m") - F.col("n_rare") > tuning.pairs_up_to),
-        "codes": F.transform("tokens", lambda t: F.xxhash64(t))})
-
-
-def _keys(rows: DataFrame, probing: bool, singles: bool) -> DataFrame:
+    ordered = (each.join(held, "token", "left")
+               .groupBy("id", "rank", "m", "needed")
+               .agg(F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct(
+                   F.coalesce("df", F.lit(0)).alias("df"), "token",
+                   F.coalesce("asked", F.lit(False)).alias("asked"))))).alias("t")))
+    return ordered.select(
+        "id", "rank", F.transform("t", lambda x: x["token"]).alias("tokens"), "m", "needed",
+        F.size(F.filter("t", lambda x: x["df"] == 0)).alias("n_rare"),
+        F.transform("t", lambda x: F.xxhash64(x["token"])).alias("codes"),
+        F.transform(F.filter("t", lambda x: x["asked"]), lambda x: F.xxhash64(x["token"]))
+        .alias("asked"))
+
+
+def _keys(rows: DataFrame, probing: bool) -> DataFrame:
     """One row per join key.  The probing side (the smaller signature) needs
     only the keys of its prefix, the other side offers all of its keys."""
     m, n_rare, needed = F.col("m"), F.col("n_rare"), F.col("needed")
     none = F.array().cast("array<bigint>")
+    single = needed == 1
     reach = m - needed if probing else m
     rare = F.slice("codes", F.lit(1), F.least(n_rare, reach + 1))
     frequent_n = F.greatest(F.least(m, reach + 2) - n_rare, F.lit(0))
     frequent = F.slice("codes", n_rare + 1, frequent_n)
-    pair_keys = F.when(F.col("single"), none).otherwise(F.flatten(F.transform(
-        frequent, lambda a, i: F.transform(
-            F.slice(frequent, i + 2, F.greatest(F.size(frequent) - i - 1, F.lit(0))),
-            lambda b: F.xxhash64(F.lit("pair"), a, b)))))
-    parts = [F.transform(rare, lambda a: F.xxhash64(F.lit("one"), a)), pair_keys]
-    if singles:
-        every = F.slice("codes", n_rare + 1, F.greatest(m - n_rare, F.lit(0)))
-        parts.append(F.transform(every, lambda a: F.xxhash64(F.lit("any"), a)))
-    return rows.select("id", "rank", "tokens", "codes", "m", "single",
-                       F.explode(F.concat(*parts)).alias("key"))
-
-
-def _joined(small: DataFrame, large: DataFrame, threshold: float,
-            singles: bool, also: Column | None = None) -> DataFrame:
+    pairs = F.flatten(F.transform(frequent, lambda a, i: F.transform(
+        F.slice(frequent, i + 2, F.greatest(F.size(frequent) - i - 1, F.lit(0))),
+        lambda b: F.xxhash64(F.lit("pair"), a, b))))
+    # A story that needs one shared token probes with single ones, no other does.
+    parts = [F.transform(rare, lambda a: F.xxhash64(F.lit("one"), a)),
+             F.when(single & F.lit(probing), none).otherwise(pairs),
+             F.when(single | F.lit(not probing), F.transform(
+                 "asked", lambda a: F.xxhash64(F.lit("any"), a))).otherwise(none)]
+    return rows.select("id", "rank", "tokens", "codes", "m", F.explode(F.concat(*parts)).alias("key"))
+
+
+def _joined(small: DataFrame, large: DataFrame, threshold: float) -> DataFrame:
     """Verified pairs (s, l) in which s has the smaller signature."""
-    s, l = _keys(small, True, singles).alias("s"), _keys(large, False, singles).alias("l")
+    s, l = _keys(small, True).alias("s"), _keys(large, False).alias("l")
     smaller_first = ((F.col("s.m") < F.col("l.m"))
                      | ((F.col("s.m") == F.col("l.m")) & (F.col("s.id") < F.col("l.id"))))
     on = (F.col("s.key") == F.col("l.key")) & smaller_first
-    if also is not None:
-        on = on & also
     # Whole-number codes settle most candidates much faster than text.  Equal
     # tokens have equal codes, so the codes share at least as many elements,
     # unless two tokens of one story collide: then only the text decides.
@@ -137,24 +137,23 @@ def _joined(small: DataFrame, large: DataFrame, threshold: float,
     return s.join(l, on & (by_code | collides) & near)
 
 
-def _pairs_within(rows: DataFrame, threshold: float, singles: bool) -> DataFrame:
+def _pairs_within(rows: DataFrame, threshold: float) -> DataFrame:
     """Near pairs inside one batch as (early, late) by rank."""
     s = F.struct(F.col("s.rank").alias("rank"), F.col("s.id").alias("id"))
     l = F.struct(F.col("l.rank").alias("rank"), F.col("l.id").alias("id"))
-    return (_joined(rows, rows, threshold, singles)
+    return (_joined(rows, rows, threshold)
             .select(F.least(s, l).alias("early"), F.greatest(s, l).alias("late")).distinct())
 
 
-def _first_leader(leaders: DataFrame, rest: DataFrame, threshold: float,
-                  singles: bool) -> DataFrame:
+def _first_leader(leaders: DataFrame, rest: DataFrame, threshold: float) -> DataFrame:
     """For each later story near a leader, its best-ranked one."""
     def side(leader: str, other: str) -> list[Column]:
         return [F.col(f"{other}.id").alias("id"),
                 F.struct(F.col(f"{leader}.rank").alias("rank"),
                          F.col(f"{leader}.id").alias("id")).alias("leader")]
 
-    found = (_joined(leaders, rest, threshold, singles).select(*side("s", "l"))
-             .unionByName(_joined(rest, leaders, threshold, singles).select(*side("l", "s"))))
+    found = (_joined(leaders, rest, threshold).select(*side("s", "l"))
+             .unionByName(_joined(rest, leaders, threshold).select(*side("l", "s"))))
     return found.groupBy("id").agg(F.min("leader").alias("leader"))
 
 
@@ -196,26 +195,25 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
     keep that many stories.  Runs Spark jobs; the result is a stored table.
     """
     sigs = cut_lineage(signatures(df, rank, lexicon), "signatures")
-    rest = spread(cut_lineage(_prepare(_fold_copies(sigs), threshold, tuning), "tokens"))
-    total, singles = rest.agg(F.count(F.lit(1)), F.coalesce(F.max("single"), F.lit(False))).first()
-
-    cuts: list[int] = []
-    if total > tuning.first_batch:
-        shares, size = [], tuning.first_batch
-        while size < total:
-            shares.append(size / total)
-            size *= tuning.growth
-        cuts = sorted(set(rest.agg(F.percentile_approx("rank", shares, 100000)).first()[0]))
+    # From here on ``rank`` is the place in the order of rank and id.
+    places = numbered(_fold_copies(sigs), ["rank", "id"], "story-order", "place")
+    rest = cut_lineage(_prepare(places.select("id", F.col("place").alias("rank"), "tokens"),
+                                threshold, tuning), "tokens")
+    total = rest.count()
+    cuts, size = [], tuning.first_batch
+    while size < total:
+        cuts.append(size - 1)
+        size *= tuning.growth
 
     links = None
-    kept_n, last_rank = 0, None
+    kept_n = 0
     for cut in [*cuts, None]:
         batch = rest if cut is None else rest.filter(F.col("rank") <= cut)
-        pairs = cut_lineage(_pairs_within(batch, threshold, singles), "pairs")
+        pairs = cut_lineage(_pairs_within(batch, threshold), "pairs")
         lost = _resolve(pairs)
-        decided = cut_lineage(batch.join(lost, "id", "left"), "decided")
-        links = decided if links is None else links.unionByName(decided)
-        last_rank = cut
+        decided = cut_lineage(batch.select("id", "rank", "tokens", "codes", "m", "needed", "n_rare",
+                                           "asked").join(lost, "id", "left"), "decided")
+        links = _verdicts(decided) if links is None else links.unionByName(_verdicts(decided))
         if cut is None:
             break
         leaders = decided.filter("leader IS NULL").drop("leader")
@@ -223,19 +221,20 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
         if enough is not None and kept_n >= enough:
             break
         later = rest.filter(F.col("rank") > cut)
-        gone = cut_lineage(_first_leader(leaders, later, threshold, singles), "near-leaders")
-        links = links.unionByName(later.join(gone, "id"))
-        rest = spread(cut_lineage(later.join(gone, "id", "left_anti"), "rest"))
-
-    done = links.select(F.col("id").alias("first_id"), F.col("leader.id").alias("leader"))
-    scope = sigs if last_rank is None else sigs.filter(F.col("rank") <= last_rank)
-    members = _members(scope)
-    out = members.join(done, "first_id").select(
+        gone = cut_lineage(_first_leader(leaders, later, threshold), "near-leaders")
+        links = links.unionByName(_verdicts(gone))
+        rest = cut_lineage(later.join(gone, "id", "left_anti"), "rest")
+
+    out = _members(sigs).join(links, "first_id").select(
         "id", "rank", F.coalesce("leader", F.when(F.col("id") != F.col("first_id"),
                                                   F.col("first_id"))).alias("leader"))
     return cut_lineage(out, "near-duplicates")
 
 
+def _verdicts(decided: DataFrame) -> DataFrame:
+    return decided.select(F.col("id").alias("first_id"), F.col("leader.id").alias("leader"))
+
+
 def _members(sigs: DataFrame) -> DataFrame:
     """Every story with the first member of its group of equal signatures."""
     key = F.when(F.size("tokens") == 0, F.col("id")).otherwise(

@@ -68,9 +68,8 @@ def random_stories(seed, n, words, hot=0.0):
 
 @pytest.mark.parametrize("seed,tuning", [
     (1, neardup.Tuning()),
-    (2, neardup.Tuning(frequent=3, pairs_up_to=4, first_batch=25, growth=3)),
-    (3, neardup.Tuning(frequent=2, pairs_up_to=100, first_batch=40, growth=3)),
-    (4, neardup.Tuning(frequent=1, pairs_up_to=0, first_batch=1000)),
+    (2, neardup.Tuning(frequent=3, first_batch=25, growth=3)),
+    (4, neardup.Tuning(frequent=1, first_batch=1000)),
 ])
 def test_equals_sequential_scan(spark, seed, tuning):
     df = table(spark, random_stories(seed, 110, 50, hot=0.3))
@@ -102,6 +101,34 @@ def test_enough_stops_early_but_exactly(spark):
     assert kept[:9] == want[:9] and got.count() < 120
 
 
+def candidates(df, tuning=neardup.Tuning()):
+    """Key matches of the first batch and of its leaders with the rest."""
+    folded = neardup._fold_copies(neardup.signatures(df, "r"))
+    rows = neardup._prepare(folded, neardup.THRESHOLD, tuning).cache()
+    first = rows.where(F.col("rank") < tuning.first_batch)
+    small, large = neardup._keys(first, True), neardup._keys(rows, False)
+    return small.groupBy("key").count().join(large.groupBy("key").agg(F.count("*").alias("n")), "key").agg(
+        F.coalesce(F.sum(F.col("count") * F.col("n")), F.lit(0))).first()[0]
+
+
+def test_one_short_story_changes_no_other_candidates(spark):
+    rows = [(f"common1 common2 own{i}a own{i}b own{i}c own{i}d", "") for i in range(300)]
+    tuning = neardup.Tuning(frequent=20, first_batch=400)
+    before = candidates(table(spark, rows), tuning)
+    assert candidates(table(spark, [*rows, ("solitary", "")]), tuning) <= before + 1
+
+
+def test_candidates_of_a_family_grow_in_proportion(spark):
+    def family(n):  # near copies with signatures of their own and the same rank
+        rows = [(f"{i:032x}", 0, f"alpha beta gamma delta epsilon own{i}x", "") for i in range(n)]
+        df = spark.createDataFrame(rows, "article_id string, r bigint, title string, summary string")
+        return neardup.near_duplicate_links(df, "r", tuning=neardup.Tuning(first_batch=16, growth=100))
+
+    for n in (100, 200):
+        assert family(n).where("leader IS NULL").count() == 1
+    assert neardup.Tuning().first_batch <= 128
+
+
 def test_select_top_backfills(spark):
     rows = [(f"{i:032x}", t, s, 0.9 - i / 10, ["EU"], "2026-08-13") for i, (t, s) in enumerate([A, B, C, D])]
     df = spark.createDataFrame(rows, "article_id string, title string, summary string, relevance_score double, "
