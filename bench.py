@@ -31,6 +31,7 @@ def session(cpus: str) -> SparkSession:
              .config("spark.driver.memory", "16g")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.sql.session.timeZone", "UTC")
+             .config("newsloom.scan.partitions", cpus)  # the given tables are single files
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -32,12 +32,16 @@ def in_curated_order(df: DataFrame) -> DataFrame:
 
 
 def rank_value() -> Column:
-    """Briefing order as one whole number: higher score first, then earlier
-    date (undated first), then the leading digits of the article id."""
-    score = F.round(F.coalesce("relevance_score", F.lit(0.0)) * 10000).cast("bigint")
-    day = F.coalesce(F.unix_date("published_date") + 1, F.lit(0)).cast("bigint")
-    head = F.coalesce(F.conv(F.substring("article_id", 1, 5), 16, 10).cast("bigint"), F.lit(0))
-    return ((10000 - score) * F.lit(1 << 17) + day) * F.lit(1 << 20) + head
+    """Higher scores first, as a whole number: the score in units of 2^-52,
+    which is exact for scores from 2^-53 up to 1024."""
+    score = F.coalesce("relevance_score", F.lit(0.0)).cast("double")
+    return -(score * F.lit(float(1 << 52))).cast("bigint")
+
+
+def tie_value() -> Column:
+    """Order among equal scores: earlier date (undated first), then article id."""
+    day = F.coalesce(F.unix_date("published_date"), F.lit(-1000000)) + 1000000
+    return F.concat(F.lpad(day.cast("string"), 8, "0"), F.lit("/"), F.col("article_id"))
 
 
 def select_top(df: DataFrame, top_n: int = TOP_STORIES,
@@ -49,17 +53,17 @@ def select_top(df: DataFrame, top_n: int = TOP_STORIES,
     ``top_n`` stories are certain, however large the table is.
     """
     rows = any_market(df, markets)
-    order = [F.col("_rank"), F.col("article_id")]
-    ranked = rows.withColumn("_rank", rank_value())
+    ranked = rows.withColumns({"_rank": rank_value(), "_tie": tie_value()})
     if collapse:
-        kept = collapse_near_duplicates(ranked, rank="_rank", enough=top_n)
-        ranked = ranked.join(kept.select("article_id"), "article_id", "left_semi")
-    return ranked.orderBy(*order).limit(top_n).drop("_rank")
+        named = ranked.select(F.col("_tie").alias("article_id"), "_rank", "title", "summary")
+        kept = collapse_near_duplicates(named, rank="_rank", enough=top_n)
+        ranked = ranked.join(kept.select(F.col("article_id").alias("_tie")), "_tie", "left_semi")
+    return ranked.orderBy("_rank", "_tie").limit(top_n).drop("_rank", "_tie")
 
 
 def number_stories(stories: DataFrame) -> DataFrame:
     """Add ``rank`` 1..n in briefing order.  For selections of bounded size."""
-    window = Window.orderBy(rank_value(), F.col("article_id"))
+    window = Window.orderBy(rank_value(), tie_value())
     return stories.withColumn("rank", F.row_number().over(window))
 
 

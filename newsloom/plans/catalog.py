@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, feeds, tagging, text, urls
 from ..operators import (briefing, dedupe, filters, health, neardup, quality,
                          ranking, rollups, sections)
-from ..operators.enrichment import Features, enrich, with_timestamps
+from ..operators.enrichment import Features, enrich, require_fields, with_timestamps
 from ..schemas import CURATED_COLUMNS, LIST_COLUMNS
 from ..session import cut_lineage, new_work_path, spread
 from ..sources import curated as curated_store
@@ -190,8 +190,7 @@ def custom_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = articles(spark, sf_dir)
-    return rows.filter((F.col("title") != "") & (F.col("url") != "")).select("doc_id")
+    return require_fields(articles(spark, sf_dir)).select("doc_id")
 
 
 @query
@@ -318,10 +317,16 @@ def token_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = stored_curated(spark, sf_dir).withColumn("_rank", ranking.rank_value())
+    """Stories named by the order among equal ranks, and the links of these names."""
+    rows = (stored_curated(spark, sf_dir).withColumn("_rank", ranking.rank_value())
+            .select(ranking.tie_value().alias("article_id"), "_rank", "title", "summary"))
     return rows, neardup.near_duplicate_links(rows, "_rank")
 
 
+def _plain(name: str) -> Column:
+    return F.split_part(F.col(name), F.lit("/"), F.lit(2)).alias(name)
+
+
 @query
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every retelling with the kept story it repeats."""
@@ -332,13 +337,14 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = links.filter("leader IS NOT NULL").select(
         F.col("id").alias("article_id"), F.col("leader").alias("kept_id"))
     return pairs.join(late, "article_id").join(early, "kept_id").select(
-        "article_id", "kept_id", neardup.overlap(F.col("a"), F.col("b")).alias("shared"),
+        _plain("article_id"), _plain("kept_id"), neardup.overlap(F.col("a"), F.col("b")).alias("shared"),
         F.least(F.size("a"), F.size("b")).alias("smaller"))
 
 
 @query
 def near_dup_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _links(spark, sf_dir)[1].filter("leader IS NULL").select(F.col("id").alias("article_id"))
+    return (_links(spark, sf_dir)[1].filter("leader IS NULL")
+            .select(F.col("id").alias("article_id")).select(_plain("article_id")))
 
 
 # --- feeds ------------------------------------------------------------------
@@ -496,12 +502,14 @@ def analyses(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
     talks = table(spark, sf_dir, "conversations")
 
     def turn(n: int, name: str) -> Column:
-        return F.max(F.when(F.col("turn") == n, F.col("text"))).alias(name)
+        return F.max(F.when(F.col("turn") % 4 == n, F.col("text"))).alias(name)
 
     answers = talks.groupBy("conv_id").agg(
         turn(0, "what_happened"), turn(1, "why_it_matters"),
         turn(2, "who_may_be_affected"), turn(3, "what_to_watch_next"))
-    conv = F.dayofmonth("published_date") * 20 + F.col("rank")
+    # One story in five gets a number that no conversation has.
+    numbers = (talks.agg(F.max("conv_id")).first()[0] + 1) * 5 // 4
+    conv = F.pmod(F.dayofmonth("published_date") * 20 + F.col("rank"), F.lit(numbers))
     return (chosen.select("report_id", "rank", conv.cast("bigint").alias("conv_id"))
             .join(answers, "conv_id").drop("conv_id"))
 
@@ -723,6 +731,10 @@ def incremental_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in which one-shot and incremental curation differ (none)."""
-    return quality.differing_rows(incremental_curation(spark, sf_dir),
-                                  curated_articles(spark, sf_dir)).select("article_id", "side")
+    """How many rows one-shot and incremental curation have, and how many differ."""
+    left = cut_lineage(incremental_curation(spark, sf_dir), "incremental")
+    right = cut_lineage(curated_articles(spark, sf_dir), "one-shot")
+    counts = left.agg(F.count("*").alias("incremental_rows")).select("*", F.lit(1).alias("k")).join(
+        right.agg(F.count("*").alias("one_shot_rows")).select("*", F.lit(1).alias("k")), "k")
+    unlike = quality.differing_rows(left, right).agg(F.count("*").alias("unlike_rows"))
+    return counts.join(unlike.select("*", F.lit(1).alias("k")), "k").drop("k")

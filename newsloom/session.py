@@ -67,15 +67,11 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# More tasks than this do not pay for a table that fits a few splits.
-_SPREAD_LIMIT = 256
-
-
 def spread(scan: DataFrame) -> DataFrame:
-    """Give the cores a share of a scan that has fewer splits than cores.
+    """Deal a scan out over as many tasks as ``newsloom.scan.partitions`` says.
 
-    For costly work on a small table.  A scan with enough splits, as any
-    large table has, is left alone.
+    Only for tables of few, unsplittable files; without the setting a scan is
+    left as Spark reads it.
     """
-    wanted = min(scan.sparkSession.sparkContext.defaultParallelism, _SPREAD_LIMIT)
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+    wanted = scan.sparkSession.conf.get("newsloom.scan.partitions", None)
+    return scan.repartition(int(wanted)) if wanted else scan

@@ -100,3 +100,38 @@ def test_statistics_are_appended(spark, tmp_path):
         store.append_stats(per_feed, per_run, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/run_stats").count() == 2
     assert spark.read.parquet(f"{tmp_path}/feed_stats").count() == 2
+
+
+def test_work_folder_needs_no_setting(spark):
+    from newsloom import session
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = session.work_root(spark)
+    assert folder == session.work_root(spark)
+    assert spark.conf.get("spark.checkpoint.dir", None) == named  # nothing was set
+    if named:
+        assert folder == named.rstrip("/")
+
+
+def test_scans_are_left_alone_unless_told(spark):
+    from newsloom.session import spread
+    rows = spark.range(10).coalesce(1)
+    assert spread(rows) is rows
+    spark.conf.set("newsloom.scan.partitions", "3")
+    try:
+        assert spread(rows).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("newsloom.scan.partitions")
+
+
+def test_scores_keep_all_their_digits(spark):
+    from newsloom.operators import ranking, rollups
+    rows = spark.createDataFrame(
+        [("a", "x y z", 0.62500, "2026-08-13"), ("b", "u v w", 0.62501, "2026-08-13"),
+         ("c", "p q r", 1 / 3, "2026-08-12"), ("d", "k l m", None, "2026-08-11")],
+        "article_id string, title string, relevance_score double, d string").selectExpr(
+        "*", "to_date(d) AS published_date", "'' AS summary", "'EU' AS primary_market", "'s' AS source_id",
+        "array('EU') AS markets")
+    assert [r.article_id for r in ranking.select_top(rows, 3).collect()] == ["b", "a", "c"]
+    assert [r.rank for r in ranking.number_stories(rows).orderBy("article_id").collect()] == [2, 1, 3, 4]
+    got = {str(r.published_date): r.avg_relevance for r in rollups.by_market_day(rows).collect()}
+    assert got == {"2026-08-13": 0.625, "2026-08-12": 0.333, "2026-08-11": None}
