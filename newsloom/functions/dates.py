@@ -18,6 +18,15 @@ _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun",
 
 _RFC = (r"(?is)^(?:[a-z]+,?\s*)?(\d{1,2})[\s-]+([a-z]{3})[a-z]*[\s-]+(\d{4}|\d{2})"
         r"\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([a-z]+|[+-]\d{4})?(?:\W.*)?$")
+# Other orders and signs, rewritten to day, month, year, time: month first, the
+# year after the time, a comma after the day, dots in the time.
+_REWRITES = (
+    (r"(?i)^(?:[a-z]+,?\s+)?([a-z]{3})[a-z]*\s+(\d{1,2})\s+(\d{1,2}[:.]\d{2}(?:[:.]\d{2})?)\s+(\d{4})(?!\d)(.*)$",
+     "$2 $1 $4 $3$5"),
+    (r"(?i)^(?:[a-z]+,?\s+)?([a-z]{3})[a-z]*\s+(\d{1,2}),?\s+(\d{4}|\d{2})\s+(.*)$", "$2 $1 $3 $4"),
+    (r"(\s\d{1,2})\.(\d{2})\.(\d{2})(?!\d)", "$1:$2:$3"),
+    (r"(\s\d{1,2})\.(\d{2})(?![\d.:])", "$1:$2"),
+)
 _ISO = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?"
         r"(?:[+-]\d{2}:\d{2})?)?$")
 
@@ -44,6 +53,8 @@ def _rfc_timestamp(text: Column) -> Column:
             F.lpad(p[0], 2, "0"), F.lit("T"), F.lpad(p[3], 2, "0"), F.lit(":"),
             p[4], F.lit(":"), seconds, offset(F.upper(p[6])))
 
+    for pattern, form in _REWRITES:
+        text = F.regexp_replace(text, pattern, form)
     return let(groups(text, _RFC, 7), iso).try_cast("timestamp")
 
 

@@ -140,3 +140,28 @@ def test_vocabulary_scan_equals_substring_tests(spark):
     got = values(spark, lambda c: vocabulary.lexicon_hits(c, DEFAULT_LEXICON), texts)
     assert [set(g) for g in got] == [{w for w in words if w in t} for t in texts]
     assert all(len(g) == len(set(g)) for g in got)
+
+
+def test_dates_agree_with_the_mail_library(spark):
+    from datetime import datetime, timezone
+    from email.utils import mktime_tz, parsedate_tz
+    rnd = random.Random(8)
+    forms = ["%a, %d %b %Y %H:%M:%S +0000", "%d %b %Y %H:%M:%S GMT", "%a %b %e %H:%M:%S %Y", "%b %d %Y %H:%M:%S +0000",
+             "%a, %b %d %Y %H:%M:%S GMT", "%a, %d %b %Y %H.%M.%S GMT", "%d %b %Y %H:%M -0330", "%a, %d %b %Y %H:%M EST",
+             "%b %d, %Y %H:%M:%S +0200", "%A, %d %B %Y %H:%M:%S Z", "%d-%b-%Y %H:%M:%S PDT"]
+    texts = [datetime.fromtimestamp(rnd.randrange(10**9, 2 * 10**9), timezone.utc).strftime(rnd.choice(forms))
+             for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.s for r in df.select("i", F.unix_timestamp(dates.parse_datetime(F.col("t"))).alias("s")).orderBy("i").collect()]
+    assert [(t, s) for t, s in zip(texts, got)] == [(t, mktime_tz(parsedate_tz(t))) for t in texts]
+
+
+def test_iso_dates_agree_with_the_standard_library(spark):
+    from datetime import datetime, timedelta, timezone
+    rnd = random.Random(9)
+    times = [datetime.fromtimestamp(rnd.randrange(10**9, 2 * 10**9), timezone(timedelta(minutes=rnd.choice([0, 120, -330]))))
+             for _ in range(200)]
+    texts = [t.isoformat() if i % 2 else t.strftime("%Y%m%dT%H%M%S%z") for i, t in enumerate(times)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.s for r in df.select("i", F.unix_timestamp(dates.parse_datetime(F.col("t"))).alias("s")).orderBy("i").collect()]
+    assert got == [int(t.timestamp()) for t in times]
