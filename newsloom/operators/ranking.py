@@ -26,11 +26,6 @@ def curated_order() -> list[Column]:
     return [F.desc("relevance_score"), F.desc("event_ts"), F.asc("article_id")]
 
 
-def in_curated_order(df: DataFrame) -> DataFrame:
-    """The whole table sorted.  Not needed before a partitioned write."""
-    return df.orderBy(*curated_order())
-
-
 def rank_value() -> Column:
     """Higher scores first, as a whole number: the score in units of 2^-52,
     which is exact for scores from 2^-53 up to 1024."""

@@ -681,13 +681,23 @@ def curated_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def curated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the CSV export, times and lists as text."""
-    rows = curated(spark, sf_dir)
-    return curated_store.csv_rows(ranking.stringify_times(rows)).select(
-        "article_id", *LIST_COLUMNS, "published_ts", "fetched_ts", "event_ts",
+    """The CSV export, times and lists as text, written and read back."""
+    path = new_work_path(spark, "curated-csv")
+    curated_store.write_csv(ranking.stringify_times(curated(spark, sf_dir)), path)
+    return curated_store.read_csv(spark, path).select(
+        "article_id", "title", "summary", *LIST_COLUMNS, "published_ts", "fetched_ts", "event_ts",
         "published_date", "ingest_date")
 
 
+@query
+def curated_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export as JSON lines, all columns, written and read back."""
+    path = new_work_path(spark, "curated-jsonl")
+    rows = curated(spark, sf_dir)
+    curated_store.write_jsonl(rows, path)
+    return flat(spark.read.schema(rows.schema).json(path).select(*CURATED_COLUMNS))
+
+
 @query
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rollup written with the others from the stored table, read back."""

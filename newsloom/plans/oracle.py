@@ -29,6 +29,7 @@ def barred(expr: str) -> str:
 # --- small expressions ------------------------------------------------------
 
 _SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+# Query parameters that only track.
 _DROP = ("fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source", "cmpid", "smid",
          "_hsenc", "_hsmi", "sh")
 
@@ -80,6 +81,7 @@ def day(d: str) -> str:
     return f"strftime({d}, '%Y-%m-%d')"
 
 
+# Words near an omnibus, regulations and their patterns.
 _OMNIBUS_NEAR = "csrd|csddd|sfdr|esrs|taxonomy|sustainab"
 REGULATION_SQL = {
     "CSRD": r"\bcsrd\b|corporate sustainability reporting directive",
@@ -108,6 +110,7 @@ _REG_TESTS["Omnibus"] = (
     "|(?:simplification|sustainability) omnibus') OR "
     f"(regexp_matches(low, '\\bomnibus\\b') AND regexp_matches(low, '{_OMNIBUS_NEAR}')))")
 
+# Words of the two markets.
 _EU_WORDS = (r"european union|brussels|european commission|european parliament|european council"
              r"|european central bank|eurozone|germany|german\b|france|french\b|spain|spanish\b|italy"
              r"|italian\b|netherlands|dutch\b|poland|polish\b|sweden|swedish\b|denmark|danish\b|belgium"
@@ -118,6 +121,7 @@ _US_WORDS = (r"united states|american\b|washington|congress|senate|white house|c
              r"|department of energy|environmental protection agency|securities and exchange commission")
 _US_SHORT = r"\bU\.S\.|\b(?:US|USA|SEC|EPA|FERC|CFTC|FHFA|DOE|IRS|NOAA|SB[- ]?253|SB[- ]?261)\b"
 # RE2 has no look-ahead: "green light" is blanked out before matching.
+# Core vocabulary.
 _CORE = (r"\besg\b|sustainab|\bclimate\b|\bcarbon\b|\bemissions?\b|net[-\s]zero|\bgreen\b|\brenewables?\b"
          r"|decarboni|\benvironmental\b|\bgovernance\b|\bbiodiversity\b|circular economy|\bfossil fuels?\b"
          r"|(?:energy|just|climate|low[-\s]carbon|green|net[-\s]zero) transition"
@@ -547,7 +551,8 @@ def statements() -> dict[str, str]:
             count(*) AS lines, CAST(0 AS BIGINT) AS corrupt, count(url) AS with_url
             FROM (SELECT *, DATE '2026-08-14' - CAST(doc_id % 3 AS INT) AS d FROM articles) GROUP BY d"""),
         "curated_round_trip": with_ctes("curated", _curated_select()),
-        "curated_csv": with_ctes("curated", _curated_select(("article_id", *LIST_COLUMNS, "published_ts", "fetched_ts",
+        "curated_jsonl": with_ctes("curated", _curated_select()),
+        "curated_csv": with_ctes("curated", _curated_select(("article_id", "title", "summary", *LIST_COLUMNS, "published_ts", "fetched_ts",
                                                              "event_ts", "published_date", "ingest_date"))),
         "stored_rollup": None, "stored_run_stats": None,
         "ingest_window": with_ctes("articles", """SELECT doc_id, published_at FROM articles WHERE published_ts IS NULL

@@ -34,6 +34,11 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+#: Quotes doubled, white space and line breaks of texts kept.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
+
+
 def csv_rows(df: DataFrame) -> DataFrame:
     """Lists joined with ``|``, as CSV holds no arrays."""
     return df.withColumns({c: F.coalesce(F.array_join(c, "|"), F.lit("")) for c in LIST_COLUMNS})
@@ -41,8 +46,13 @@ def csv_rows(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Curated articles as CSV with a header line."""
-    (csv_rows(df).write.mode("overwrite").option("header", True)
-     .option("escape", '"').option("multiLine", True).csv(path))
+    csv_rows(df).write.mode("overwrite").options(**_CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV export, every column as text; an empty cell of a list is an empty list."""
+    rows = spark.read.options(multiLine=True, **_CSV).csv(path)
+    return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in LIST_COLUMNS})
 
 
 def write_rollups(curated: DataFrame, path: str) -> dict[str, str]:
