@@ -380,15 +380,18 @@ def deduplicated(docs: DataFrame, shingles: Shingles = Shingles(),
              .agg(F.count("*").alias("times"), F.max(
                  F.col("doc_id") == F.col("component_id")).alias("stays"))
              .where("times > 1 or not stays")
-             .select(F.col("doc_id").alias("noted_id"), "stays"))
+             .select(F.col("doc_id").cast("string").alias("noted_key"), "times", "stays"))
+    text = F.coalesce(F.col("row")[text_column], F.lit(""))
+    key = F.coalesce(F.col("row")[id_column].cast("string"),  # documents without an id spread
+                     F.concat(F.lit("?"), F.pmod(F.xxhash64(text), F.lit(997)).cast("string")))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    noted = packed.join(notes, F.col("row")[id_column] == F.col("noted_id"), "left")
-    alone = noted.where("noted_id is null").select("row")
-    order = Window.partitionBy("noted_id").orderBy(F.sha2(F.coalesce(
-        F.col("row")[text_column], F.lit("")), 256))
-    repeated = (noted.where("stays").withColumn("_place", F.row_number().over(order))
-                .where("_place = 1").select("row"))
-    return alone.unionByName(repeated).select("row.*")
+    # The notes grow with the documents, so both sides are shuffled at every
+    # size: texts move once, and rows with the same id are then together.
+    noted = packed.withColumn("_key", key).join(
+        notes.hint("merge"), F.col("_key") == F.col("noted_key"), "left")
+    order = Window.partitionBy("_key").orderBy(F.when(F.col("times") > 1, F.sha2(text, 256)))
+    return (noted.withColumn("_place", F.row_number().over(order))
+            .where("noted_key is null or (stays and _place = 1)").select("row.*"))
 
 
 def report(docs: DataFrame) -> DataFrame:
