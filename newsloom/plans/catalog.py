@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, feeds, tagging, text, urls
+from ..functions import dates, feeds, text, urls
 from ..operators import (briefing, dedupe, filters, health, neardup, quality,
                          ranking, rollups, sections)
 from ..operators.enrichment import Features, enrich, require_fields, with_timestamps
