@@ -33,7 +33,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """
     now = cut_lineage(_low_high(links), f"{name}-links")
     state = _state(now)
-    while True:
+    while state[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = cut_lineage(_low_high(

@@ -18,8 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import numbered
 from ..session import cut_lineage
-from .common import WORD, numbered, text_of
+from .common import WORD, text_of
 
 
 @dataclass(frozen=True)

@@ -76,10 +76,3 @@ def same():
 def repr_key(row: tuple) -> str:
     return repr([None if x is None else str(int(x)) if isinstance(x, (int, float)) and x == int(x)
                  else str(x) for x in row])
-
-
-def pandas_docs(df) -> pd.DataFrame:
-    frame = pd.DataFrame([tuple(r) for r in df.select("doc_id", "text", "source").collect()],
-                         columns=["doc_id", "text", "source"])
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    return frame

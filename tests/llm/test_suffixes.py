@@ -31,7 +31,7 @@ def got(docs, **options) -> list[tuple]:
     return sorted((tuple(r) for r in rows.collect()), key=str)
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 3000, 1 << 20])
+@pytest.mark.parametrize("chunk_bytes", [1, 3000])
 def test_messy_documents(messy, monkeypatch, chunk_bytes):
     stored = suffixes._stored_chunks
     monkeypatch.setattr(suffixes, "_stored_chunks", lambda d, t, c: stored(d, t, chunk_bytes))
