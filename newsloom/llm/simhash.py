@@ -224,17 +224,27 @@ def grouped(docs: DataFrame, shingles: Shingles = Shingles(), id_column: str = "
 
 # --- near copies ------------------------------------------------------------
 
-#: Words of a wide fingerprint, its 23-bit segments, and how far apart the two
-#: segments of a key are at most: 22 segments, 132 keys.
-WIDE_WORDS, WIDE_SEGMENTS, REACH = 8, 22, 6
+#: Words of a wide fingerprint, and the min-hashes of a key and keys of a
+#: document: texts of similarity 0.8 share none of them once in 500,000 pairs.
+WIDE_WORDS, ROWS, BANDS = 8, 8, 72
 SIMILARITY = 0.8
+#: Bits of the filter that tells which texts are read again.
+FILTER_BITS = 1 << 24
 
 
-def wide_fingerprint(text: str, shingles: Shingles) -> bytes:
-    """A fingerprint of 512 bits over the distinct shingles: each shingle hash
-    is mixed into eight words."""
+def shingle_set(text: str, shingles: Shingles) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(text, shingles)]))
+
+
+def set_node(hashes: np.ndarray) -> int:
+    """The number of a shingle set, as a signed long."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """A fingerprint of 512 bits of a shingle set: each hash is mixed into eight words."""
     steps = np.arange(1, WIDE_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(text, shingles)]))
     counts = np.zeros(64 * WIDE_WORDS, np.int64)
     for first in range(0, len(hashes), 1 << 13):
         x = hashes[first:first + (1 << 13), None] + steps
@@ -249,15 +259,26 @@ def differing_bits(similarity: float) -> int:
     return int(64 * WIDE_WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def wide_keys(prints: np.ndarray) -> np.ndarray:
-    """Keys of wide fingerprints (rows of bytes): the codeword indices of two
-    segments and which two these are."""
-    bits = np.unpackbits(prints, axis=1, bitorder="little")
-    places = 1 << np.arange(23)
-    own = [codeword_indices(bits[:, 23 * s:23 * s + 23] @ places) for s in range(WIDE_SEGMENTS)]
-    return np.stack([np.int64((d - 1) * WIDE_SEGMENTS + s) << 24 | own[s] << 12
-                     | own[(s + d) % WIDE_SEGMENTS]
-                     for d in range(1, REACH + 1) for s in range(WIDE_SEGMENTS)], axis=1)
+def loose_bits(similarity: float) -> int:
+    """A bound on these bits: six standard deviations more than the average."""
+    mean = differing_bits(similarity)
+    return int(mean + 6 * np.sqrt(mean * (1 - mean / (64 * WIDE_WORDS))))
+
+
+@functools.lru_cache(maxsize=1)
+def _multipliers() -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of a shingle set: digests of ``ROWS`` min-hashes each."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, np.uint64)
+    for first in range(0, len(hashes), 1 << 9):
+        np.minimum(least, (hashes[first:first + (1 << 9), None] * _multipliers()).min(axis=0), out=least)
+    return np.array([xxhash.xxh3_64_intdigest(band.tobytes(), k) - (1 << 63)
+                     for k, band in enumerate(least.reshape(BANDS, ROWS))], np.int64)
 
 
 def near_forest(prints: np.ndarray, max_bits: int) -> np.ndarray:
@@ -283,61 +304,61 @@ def near_forest(prints: np.ndarray, max_bits: int) -> np.ndarray:
     return label
 
 
-def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: float = SIMILARITY,
-                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and component_id of groups of near copies.
-
-    Documents link if their 512-bit fingerprints differ in no more bits than
-    shingle sets of that Jaccard similarity do on average.  They are compared
-    where two of their segments have the same codewords.  Of 132 keys, texts of
-    similarity 0.9 share one in over 99 of 100 cases, of 0.8 in about 85.
-    """
-    kind = docs.schema[id_column].dataType.simpleString()
-    max_bits = differing_bits(similarity)
+def set_forest(sets: list[np.ndarray], prints: np.ndarray, label: np.ndarray,
+               similarity: float) -> np.ndarray:
+    """For each shingle set a member of its component.  ``label`` has what is
+    known to hang together; only sets with different labels are compared, with
+    their fingerprints and, where these are not far apart, exactly."""
+    label = np.unique(label, return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets])
+    max_bits = loose_bits(similarity)
+    for i in range(len(sets)):
+        other = np.nonzero(label != label[i])[0]
+        if not len(other):
+            continue
+        # A ratio of sizes below the similarity leaves no room for it.
+        fits = np.minimum(sizes[other], sizes[i]) >= similarity * np.maximum(sizes[other], sizes[i]) - 1e-9
+        other = other[fits]
+        other = other[np.bitwise_count(prints[other] ^ prints[i]).sum(axis=1, dtype=np.int64) <= max_bits]
+        met = {int(label[i])}
+        for j in other.tolist():
+            if int(label[j]) not in met:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9:
+                    met.add(int(label[j]))
+        if len(met) > 1:
+            label[np.isin(label, list(met))] = min(met)
+    first = np.full(len(sets), len(sets))
+    np.minimum.at(first, label, np.arange(len(sets)))
+    return first[label]
 
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([wide_fingerprint(t.as_py() or "", shingles)
-                                            for t in batch.column(1)], pa.binary())],
-                ["doc_id", "print"])
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4096):
-                part = batch.slice(first, 4096)
-                own = wide_keys(np.frombuffer(b"".join(part.column(1).to_pylist()),
-                                              np.uint8).reshape(part.num_rows, -1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), own.shape[1])),
-                     pa.array(own.ravel())], ["node", "key"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of one key, which follow each other."""
+def _linked_sets(cells: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) links of the rows (cell, node, label, hashes, print) of a cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of one cell, which follow each other."""
         held: list[pa.RecordBatch] = []
 
         def runs(rows: pa.Table) -> pa.RecordBatch:
-            key, node = (rows.column(c).to_numpy() for c in ("key", "node"))
+            cell, node, label = (rows.column(c).to_numpy() for c in ("cell", "node", "label"))
+            sets = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
             prints = np.frombuffer(b"".join(rows.column("print").to_pylist()),
-                                   np.uint64).reshape(len(key), -1)
-            cuts = [0, *(np.nonzero(key[1:] != key[:-1])[0] + 1).tolist(), len(key)]
-            a, b = [], []
+                                   np.uint64).reshape(len(cell), -1)
+            cuts = [0, *(np.nonzero(cell[1:] != cell[:-1])[0] + 1).tolist(), len(cell)]
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for start, stop in zip(cuts, cuts[1:]):
                 if stop - start > 1:
-                    label = near_forest(prints[start:stop], max_bits) + start
-                    hung = np.nonzero(label != np.arange(start, stop))[0] + start
-                    a.append(node[hung])
-                    b.append(node[label[hung - start]])
-            none = np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(a or [none])), pa.array(np.concatenate(b or [none]))],
-                ["a", "b"])
+                    root = set_forest(sets[start:stop], prints[start:stop], label[start:stop], similarity)
+                    a.append(node[start:stop])
+                    b.append(node[start:stop][root])
+            a, b = np.concatenate(a), np.concatenate(b)
+            return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = batch.column(0).to_numpy()
-            last = int(np.searchsorted(key, key[-1]))  # keys are sorted
+            cell = batch.column(0).to_numpy()
+            last = int(np.searchsorted(cell, cell[-1]))  # cells are sorted
             if last:
                 yield runs(pa.Table.from_batches([*held, batch.slice(0, last)]))
                 held = []
@@ -345,21 +366,81 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
         if held:
             yield runs(pa.Table.from_batches(held))
 
-    marked = cut_lineage(
-        docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-        .mapInArrow(marks, f"doc_id {kind}, print binary")
-        .withColumn("node", F.xxhash64("print")), "wide-fingerprints")
-    nodes = cut_lineage(marked.groupBy("node").agg(F.min("doc_id").alias("first_id"),
-                                                   F.first("print").alias("print")), "wide-nodes")
-    by_key = Window.partitionBy("key")
-    shared = cut_lineage(
-        nodes.select("node", "print").mapInArrow(keys, "node long, key long")
-        .withColumn("holders", F.count("*").over(by_key)).where("holders > 1")
-        .select("node", "key"), "wide-keys")
-    met = (shared.join(nodes.select("node", "print"), "node").select("key", "node", "print")
-           .repartition("key").sortWithinPartitions("key", "node"))
-    links = met.mapInArrow(compare, "a long, b long").distinct()
-    found = components(links, "near-copies").withColumnRenamed("node", "found_node")
+    return (cells.select("cell", "node", "label", "hashes", "print").repartition("cell")
+            .sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long"))
+
+
+def near_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all similar sets of a candidate group; ``sets`` has
+    group, node, hashes and print."""
+    cells = sets.withColumn("cell", F.col("group")).withColumn("label", F.col("node"))
+    return _linked_sets(cells, similarity)
+
+
+def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: float = SIMILARITY,
+                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id and component_id of groups of near copies.
+
+    Documents link if the Jaccard similarity of their sets of shingles is at
+    least ``similarity``.  Sets that share a key of min-hashes, directly or over
+    others, are a candidate group.  The texts of these groups are read again and
+    compared exactly where their 512-bit fingerprints are not far apart.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, keys = [], []
+            for t in batch.column(1):
+                hashes = shingle_set(t.as_py() or "", shingles)
+                node.append(set_node(hashes))
+                keys.append(band_keys(hashes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "node", "keys"])
+
+    marked = cut_lineage(texts.mapInArrow(marks, f"doc_id {kind}, node long, keys array<long>"),
+                         "near-marks")
+    nodes = cut_lineage(marked.groupBy("node").agg(F.min("doc_id").alias("first_id")), "near-nodes")
+    keyed_nodes = marked.select("node", F.explode("keys").alias("key")).distinct()
+    shared = (keyed_nodes.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+              .where("least < most").select(F.col("key").alias("shared_key"), "least"))
+    stars = (keyed_nodes.join(shared, F.col("key") == F.col("shared_key"))
+             .select(F.col("node").alias("a"), F.col("least").alias("b")))
+    groups = cut_lineage(components(stars, "near-candidates").select(
+        F.col("node").alias("group_node"), F.col("component").alias("group")), "near-groups")
+    # One bit for each candidate, in at most FILTER_BITS / 32 rows: bounded by construction.
+    place = F.pmod(F.col("group_node"), F.lit(FILTER_BITS))
+    rows = (groups.groupBy(F.floor(place / 32).cast("int").alias("word"))
+            .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(group_node, {FILTER_BITS}) % 32 as int))"))
+                 .alias("bits")).toArrow())
+    wanted = np.zeros(FILTER_BITS // 32, np.uint32)
+    wanted[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    passing = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = passing.value
+        for batch in batches:
+            node, kept, prints = [], [], []
+            for t in batch.column(0):
+                hashes = shingle_set(t.as_py() or "", shingles)
+                own = set_node(hashes)
+                at = own % FILTER_BITS
+                if words[at >> 5] >> np.uint32(at & 31) & np.uint32(1):
+                    node.append(own)
+                    kept.append(hashes.tobytes())
+                    prints.append(wide_fingerprint(hashes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node, pa.int64()), pa.array(kept, pa.large_binary()).cast(pa.binary()),
+                 pa.array(prints, pa.binary())], ["node", "hashes", "print"])
+
+    sets = cut_lineage(
+        texts.select("text").mapInArrow(again, "node long, hashes binary, print binary")
+        .groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("print").alias("print"))
+        .join(groups, F.col("node") == F.col("group_node"))
+        .select("group", "node", "hashes", "print"), "near-sets")
+    found = components(near_links(sets, similarity), "near-copies").withColumnRenamed("node", "found_node")
     labelled = (nodes.join(found, F.col("node") == F.col("found_node"), "left")
                 .select("node", "first_id", F.coalesce("component", "node").alias("component")))
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -103,6 +103,31 @@ def test_near_copies_are_grouped_and_others_are_not(spark):
     assert np.mean([got[i] == 3 * family[i] for i in got]) > 0.97
 
 
+def _jaccard(a: str, b: str) -> float:
+    x, y = ({tuple(t.split()[i:i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_are_those_of_jaccard_08(spark):
+    """Pairs around the limit: exactly those at or above it are grouped."""
+    draw = random.Random(8)
+    rows, expected = [], []
+    for _ in range(400):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(draw.choice([8, 60, 200]))]
+        other = list(words)
+        for _ in range(max(1, len(words) // 40 + draw.randrange(-1, 3))):
+            other[draw.randrange(len(words))] = f"new{draw.randrange(10**6)}"
+        if len(words) == 8:
+            other = words + ["more"]  # 4 of 5 shingles
+        pair = [" ".join(words), " ".join(other)]
+        expected.append(_jaccard(*pair) >= 0.8)
+        rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+    got = {r.doc_id: r.component_id for r in simhash.near_grouped(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 100 < sum(expected) < 380
+    assert [got[2 * k] == got[2 * k + 1] for k in range(400)] == expected
+
+
 def test_tight_and_chained_runs_hang_together():
     draw = np.random.default_rng(2)
     base = draw.integers(0, 1 << 63, (1, 8), dtype=np.uint64)
