@@ -230,6 +230,9 @@ WIDE_WORDS, ROWS, BANDS = 8, 8, 72
 SIMILARITY = 0.8
 #: Bits of the filter that tells which texts are read again.
 FILTER_BITS = 1 << 24
+#: Sets and shingles of a group that are compared in one piece, and the sets of a
+#: larger group that all its pieces are compared with first.
+BLOCK, BLOCK_SHINGLES, PIVOTS = 512, 1 << 20, 8
 
 
 def shingle_set(text: str, shingles: Shingles) -> np.ndarray:
@@ -370,11 +373,65 @@ def _linked_sets(cells: DataFrame, similarity: float) -> DataFrame:
             .sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long"))
 
 
+def _pieces(rows: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
 def near_links(sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that join all similar sets of a candidate group; ``sets`` has
-    group, node, hashes and print."""
-    cells = sets.withColumn("cell", F.col("group")).withColumn("label", F.col("node"))
-    return _linked_sets(cells, similarity)
+    group, node, hashes and print.
+
+    A crowded group is cut into blocks, each of which also gets the group's
+    pivots, so that a tight group hangs together at once.  Then the sets outside
+    the group's largest component meet each other and that component, block by block.
+    """
+    narrow = cut_lineage(sets.select("group", "node", (F.length("hashes") / 8).alias("size")),
+                         "near-sizes")
+    per = cut_lineage(narrow.groupBy("group").agg(
+        _pieces(F.count("*"), F.sum("size")).alias("blocks")), "near-blocks")
+    placed = narrow.join(per, "group").withColumn(
+        "own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    first = Window.partitionBy("group").orderBy(F.xxhash64("node", F.lit(2)), "node")
+    pivots = (narrow.join(per.where("blocks > 1"), "group")
+              .withColumn("place", F.row_number().over(first)).where(F.col("place") <= PIVOTS)
+              .withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    cells = (placed.select("group", "node", "own").unionByName(pivots.select("group", "node", "own"))
+             .distinct().select(F.xxhash64("group", "own").alias("cell"), "node",
+                                F.col("node").alias("label")))
+    contents = sets.select("node", "hashes", "print")
+    links = cut_lineage(_linked_sets(cells.join(contents, "node"), similarity), "near-links")
+    crowded = per.where("blocks > 1").select("group")
+    if crowded.isEmpty():
+        return links
+    known = components(links, "near-blocks").withColumnRenamed("node", "known_node")
+    labelled = cut_lineage(
+        narrow.join(crowded, "group").join(known, F.col("node") == F.col("known_node"), "left")
+        .select("group", "node", "size", F.coalesce("component", "node").alias("label")),
+        "near-labels")
+    counts = labelled.groupBy("group", "label").agg(F.count("*").alias("rows"), F.sum("size").alias("size"))
+    largest = counts.groupBy("group").agg(
+        F.max(F.struct("rows", "label", "size")).alias("main"),
+        F.sum("rows").alias("rows"), F.sum("size").alias("size"))
+    main = cut_lineage(largest.where(F.col("rows") > F.col("main.rows")).select(
+        "group", F.col("main.label").alias("main"),
+        _pieces(F.col("main.rows"), F.col("main.size")).alias("inner"),
+        _pieces(F.col("rows") - F.col("main.rows"), F.col("size") - F.col("main.size")).alias("outer")),
+        "near-outer")
+    if main.isEmpty():
+        return links
+    rows = (labelled.join(main, "group").withColumn("inside", F.col("label") == F.col("main"))
+            .withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.when(
+                F.col("inside"), F.col("inner")).otherwise(F.col("outer"))).cast("int")))
+    outer = F.explode(F.sequence(F.lit(0), F.col("outer") - 1))
+    inner = F.explode(F.sequence(F.lit(0), F.col("inner") - 1))
+    across = rows.where("inside").withColumn("low", outer).withColumn("high", F.col("own")).unionByName(
+        rows.where("not inside").withColumn("low", F.col("own")).withColumn("high", inner))
+    among = (rows.where("not inside").withColumn("other", outer)
+             .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
+    cells = (across.withColumn("kind", F.lit(1)).unionByName(
+        among.drop("other").withColumn("kind", F.lit(2)))
+        .select(F.xxhash64("group", "kind", "low", "high").alias("cell"), "node", "label"))
+    return links.unionByName(_linked_sets(cells.join(contents, "node"), similarity))
 
 
 def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: float = SIMILARITY,

@@ -128,6 +128,37 @@ def test_near_copies_are_those_of_jaccard_08(spark):
     assert [got[2 * k] == got[2 * k + 1] for k in range(400)] == expected
 
 
+def test_crowded_groups_are_compared_in_blocks(spark, monkeypatch):
+    """A group larger than a block: chains and strays, with no block above its bound."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "PIVOTS", 2)
+    largest, compare = [], simhash._linked_sets
+
+    def watched(cells, similarity):
+        largest.append(max(r["count"] for r in cells.groupBy("cell").count().collect()))
+        return compare(cells, similarity)
+
+    monkeypatch.setattr(simhash, "_linked_sets", watched)
+    draw = random.Random(9)
+    texts = [[f"w{draw.randrange(10**6)}" for _ in range(120)]]
+    for _ in range(119):
+        words = list(draw.choice(texts))
+        for _ in range(draw.randrange(1, 5)):
+            words[draw.randrange(120)] = f"new{draw.randrange(10**6)}"
+        texts.append(words)
+    texts = [" ".join(w) for w in texts]
+    root = list(range(120))
+    for i in range(120):
+        for j in range(i):
+            if _jaccard(texts[i], texts[j]) >= 0.8 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = {r.doc_id: r.component_id for r in simhash.near_grouped(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(set(root)) > 5 and [got[i] for i in range(120)] == root
+    assert len(largest) == 2 and max(largest) < 60
+
+
 def test_tight_and_chained_runs_hang_together():
     draw = np.random.default_rng(2)
     base = draw.integers(0, 1 << 63, (1, 8), dtype=np.uint64)
