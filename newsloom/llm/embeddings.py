@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,10 @@ MAX_BITS = 24
 #: Members of a table entry that are compared in one piece, and rows of a task's group.
 BLOCK, GROUP_ROWS = 2048, 8192
 _BITS = SEGMENTS * SEGMENT_BITS
+#: Tables and bits of each, from cheap to exact (one table of all vectors of a label),
+#: the share of measured links that must meet, and how many are enough to measure it.
+LAYOUTS = ((SEGMENTS, SEGMENT_BITS), (10, 6), (16, 4), (1, 0))
+RECALL, QUERIES, LEAST_LINKS = 0.999, 4000, 100
 
 
 @dataclass(frozen=True)
@@ -49,6 +53,9 @@ class Rotation:
 
     centre: np.ndarray
     projection: np.ndarray
+    segments: int = SEGMENTS
+    segment_bits: int = SEGMENT_BITS
+    max_bits: int = MAX_BITS
 
     def codes(self, units: np.ndarray) -> np.ndarray:
         signs = (units - self.centre) @ self.projection > 0
@@ -92,17 +99,52 @@ def _units(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.stack(rows) if rows else np.zeros((0, width))), usable
 
 
-def fit(vectors: DataFrame, max_sample: int = MAX_SAMPLE) -> Rotation | None:
+def laid_out(rotation: Rotation, units: np.ndarray, labels: list, threshold: float) -> Rotation:
+    """The rotation with the cheapest layout whose tables bring together the
+    linked pairs of a sample, by brute force over some of it.  If the sample
+    holds few links, pairs just at the threshold are made from its vectors."""
+    codes = rotation.codes(units) if len(units) else np.zeros(0, np.uint64)
+    kinds = np.unique([str(x) for x in labels], return_inverse=True)[1] if labels else np.zeros(0, int)
+    apart = [np.zeros(0, np.uint64)]
+    for first in range(0, min(QUERIES, len(units)), 256):
+        rows = np.arange(first, min(first + 256, QUERIES, len(units)))
+        near = (units[rows] @ units.T >= threshold) & (kinds[rows][:, None] == kinds[None, :])
+        r, c = np.nonzero(near & (np.arange(len(units)) > rows[:, None]))
+        different = (units[rows[r]] != units[c]).any(axis=1)
+        apart.append((codes[rows[r]] ^ codes[c])[different])
+    if sum(map(len, apart)) < LEAST_LINKS and len(units) and units.shape[1] > 1:
+        base = units[np.arange(QUERIES) % len(units)]
+        turn = np.random.default_rng(8).normal(size=base.shape)
+        turn -= (turn * base).sum(axis=1, keepdims=True) * base
+        turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+        apart.append(rotation.codes(base) ^ rotation.codes(
+            threshold * base + math.sqrt(max(0.0, 1 - threshold**2)) * turn))
+    links = np.concatenate(apart)
+    bits = np.bitwise_count(links).astype(int)
+    max_bits = min(_BITS, max(MAX_BITS, int(bits.max(initial=0)) + 8))
+    for segments, width in LAYOUTS:
+        mask = np.uint64((1 << width) - 1)
+        meet = np.zeros(len(links), bool)
+        for k in range(segments):
+            meet |= (links >> np.uint64(width * k) & mask) == 0
+        if not len(links) or meet.mean() >= RECALL:
+            break
+    return replace(rotation, segments=segments, segment_bits=width,
+                   max_bits=_BITS if width == 0 else max_bits)
+
+
+def fit(vectors: DataFrame, max_sample: int = MAX_SAMPLE, threshold: float = THRESHOLD) -> Rotation | None:
     """Learn the rotation on at most ``max_sample`` usable vectors."""
     rows = (vectors.where("embedding is not null and size(embedding) > 0")
-            .select("vec_id", "embedding").orderBy(F.xxhash64("vec_id")).limit(max_sample)
-            .select("embedding").collect())
+            .select("vec_id", "embedding", "label").orderBy(F.xxhash64("vec_id")).limit(max_sample)
+            .select("embedding", "label").collect())
     if not rows:
         return None
     lengths = np.array([len(r.embedding) for r in rows])
     width = int(np.bincount(lengths).argmax())
-    return fit_rotation(_units(pa.array([r.embedding for r in rows]), width)[0]
-                        if width else np.zeros((0, 0)))
+    units, usable = _units(pa.array([r.embedding for r in rows]), width)
+    rotation = fit_rotation(units if width else np.zeros((0, 0)))
+    return laid_out(rotation, units, [r.label for r, u in zip(rows, usable) if u], threshold)
 
 
 def coded(vectors: DataFrame, rotation: Rotation) -> DataFrame:
@@ -142,7 +184,8 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def near_pairs(codes: np.ndarray, units: np.ndarray, upper: np.ndarray, crossing: bool,
-               segment: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+               segment: int, threshold: float, segment_bits: int = SEGMENT_BITS,
+               max_bits: int = MAX_BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked pairs of a table entry that meet here first: pairs that agree in
     an earlier segment are left to it.  If ``crossing``, only pairs of a row of
     the upper block with one of the lower block."""
@@ -152,9 +195,9 @@ def near_pairs(codes: np.ndarray, units: np.ndarray, upper: np.ndarray, crossing
     for first in range(0, len(left), step):
         rows = left[first:first + step]
         apart = codes[rows][:, None] ^ codes[right][None, :]
-        good = np.bitwise_count(apart) <= MAX_BITS
+        good = np.bitwise_count(apart) <= max_bits
         for s in range(segment):
-            good &= (apart >> np.uint64(SEGMENT_BITS * s) & np.uint64((1 << SEGMENT_BITS) - 1)) != 0
+            good &= (apart >> np.uint64(segment_bits * s) & np.uint64((1 << segment_bits) - 1)) != 0
         if not crossing:
             good &= right[None, :] > rows[:, None]
         r, c = np.nonzero(good)
@@ -165,11 +208,12 @@ def near_pairs(codes: np.ndarray, units: np.ndarray, upper: np.ndarray, crossing
                 yield a[linked], b[linked]
 
 
-def _linked(nodes: DataFrame, threshold: float) -> DataFrame:
+def _linked(nodes: DataFrame, threshold: float, rotation: Rotation) -> DataFrame:
     """(node, links, root) from every table entry: vectors linked, and a node of
     its tree in the entry's forest."""
-    segment = [F.shiftrightunsigned("code", SEGMENT_BITS * s).bitwiseAND(
-        F.lit((1 << SEGMENT_BITS) - 1)) for s in range(SEGMENTS)]
+    segment = [F.shiftrightunsigned("code", rotation.segment_bits * s).bitwiseAND(
+        F.lit((1 << rotation.segment_bits) - 1)) for s in range(rotation.segments)]
+    segment_bits, max_bits = rotation.segment_bits, rotation.max_bits
     entries = nodes.select("node", "label", "times", "unit", "code", F.posexplode(
         F.array(*segment)).alias("segment", "value"))
     keys = ["label", "segment", "value"]
@@ -181,7 +225,7 @@ def _linked(nodes: DataFrame, threshold: float) -> DataFrame:
              .select("node", "times", "unit", "code", *keys,
                      F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
                      (F.col("own") > F.col("other")).alias("upper")))
-    total = nodes.count() * SEGMENTS
+    total = nodes.count() * rotation.segments
     groups = max(1, math.ceil(total / GROUP_ROWS))
     cells = cells.withColumn("cell", F.xxhash64(*keys, "low", "high")).withColumn(
         "grp", F.pmod(F.col("cell"), F.lit(groups)))
@@ -204,7 +248,7 @@ def _linked(nodes: DataFrame, threshold: float) -> DataFrame:
                 continue
             units = np.frombuffer(b"".join(raw[a:b]), np.float64).reshape(b - a, -1)
             found = list(near_pairs(codes[a:b], units, upper[a:b], bool(low[a] < high[a]),
-                                    int(segments[a]), threshold))
+                                    int(segments[a]), threshold, segment_bits, max_bits))
             if not found:
                 continue
             x, y = (np.concatenate(p) for p in zip(*found))
@@ -228,7 +272,7 @@ def _linked(nodes: DataFrame, threshold: float) -> DataFrame:
 def linked(vectors: DataFrame, threshold: float = THRESHOLD,
            rotation: Rotation | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
-    rotation = rotation or fit(vectors)
+    rotation = rotation or fit(vectors, threshold=threshold)
     if rotation is None:
         alone = vectors.select("vec_id")
         return alone.select("vec_id", F.lit(0).cast("long").alias("n_links"),
@@ -241,7 +285,7 @@ def linked(vectors: DataFrame, threshold: float = THRESHOLD,
         F.first("label").alias("label"), F.first("unit").alias("unit"),
         F.first("code").alias("code"), F.count("*").alias("times"),
         F.min("vec_id").alias("first_id")), "vectors")
-    found = cut_lineage(_linked(nodes, threshold), "embedding-links")
+    found = cut_lineage(_linked(nodes, threshold, rotation), "embedding-links")
     trees = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")),
                        "embeddings").select(F.col("node").alias("tree_node"), "component")
     links = found.groupBy(F.col("node").alias("linked_node")).agg(F.sum("links").alias("links"))

@@ -91,6 +91,25 @@ def test_recall_near_the_threshold(spark):
     assert sum(found.values()) >= 0.9 * sum(expected.values())
 
 
+def test_recall_with_a_common_direction(spark):
+    """Vectors that share most of their length: links are found as well."""
+    draw = np.random.default_rng(12)
+    common = draw.normal(size=24)
+    common *= np.sqrt(0.8) / np.linalg.norm(common)
+    rows = []
+    for i in range(300):
+        a = draw.normal(size=24)
+        a = common + np.sqrt(0.2) * a / np.linalg.norm(a)
+        a /= np.linalg.norm(a)
+        b = draw.normal(size=24)
+        b -= (a @ b) * a
+        cosine = draw.uniform(0.931, 0.95)
+        b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b)
+        rows += [(2 * i, a.tolist(), i), (2 * i + 1, b.tolist(), i)]
+    found = sum(r[1] for r in collect(embeddings.linked(frame(spark, rows))))
+    assert found >= 0.99 * sum(r[1] for r in brute(rows))
+
+
 def test_rotation_balances_the_bits():
     draw = np.random.default_rng(1)
     units = draw.normal(size=(3000, 64))
