@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 
 import pytest
-from conftest import article
+from rows import article
 from pyspark.sql import functions as F
 
 from newsloom.functions import tagging

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import AS_OF, article
+from rows import AS_OF, article
 from pyspark.sql import functions as F
 
 from newsloom.operators.enrichment import enrich, with_timestamps

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from conftest import AS_OF, article
+from rows import AS_OF, article
 from pyspark.sql import functions as F
 
 from newsloom.operators.quality import differing_rows
