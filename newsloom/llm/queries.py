@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embeddings, imatch, licences, mixing, quality, simhash, suffixes, warc
+from . import (bpe, chat, decontaminate, embeddings, imatch, lexical, licences, mixing, negatives,
+               quality, simhash, suffixes, warc)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op11_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.report(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_imatch": op1_imatch,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -66,6 +79,9 @@ QUERIES: dict[str, Query] = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_bpe": op9_bpe,
     "op10_source_mixing": op10_source_mixing,
+    "op11_automaton_search": op11_automaton_search,
+    "op12_decontamination": op12_decontamination,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -75,4 +91,7 @@ ORACLE: dict[str, str] = {
     "op5_itq_embeddings": embeddings.SQL,
     "op8_warc_salvage": warc.SQL,
     "op10_source_mixing": mixing.SQL,
+    "op11_automaton_search": lexical.SQL,
+    "op12_decontamination": decontaminate.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
