@@ -52,19 +52,30 @@ _CLASS_OF = _byte_classes()
 
 
 def shares(text: str) -> np.ndarray:
-    """The share of each term: of class triples, and of words."""
+    """The share of each term: of class triples, and of words.
+
+    A long text is read in slices; what crosses their borders is carried over
+    (two classes, a word and the 64-bit hashes of the words so far), so the
+    shares do not depend on where it is cut."""
     counts = np.zeros(N_TERMS)
-    words = 0
+    words, seen, last, rest = 0, set(), None, ""
+    tail = np.zeros(0, np.int32)
     for first in range(0, len(text), _SLICE):
         part = text[first:first + _SLICE]
-        kinds = _CLASS_OF[np.frombuffer(part.encode(), np.uint8)]
+        kinds = np.append(tail, _CLASS_OF[np.frombuffer(part.encode(), np.uint8)])
         if len(kinds) > 2:
             triples = (kinds[:-2] * _CLASSES + kinds[1:-1]) * _CLASSES + kinds[2:]
             counts[:_TRIPLES] += np.bincount(triples, minlength=_TRIPLES)
-        own = part.split()
+        tail = kinds[-2:]
+        own = (rest + part).split()
+        # A word that the end of the slice may cut goes on in the next one.
+        cut = first + _SLICE < len(text) and not part[-1].isspace()
+        rest = own.pop() if cut else ""
         words += len(own)
-        counts[_TRIPLES] += sum(map(operator.eq, own, own[1:]))
-        counts[_TRIPLES + 1] += len(own) - len(set(own))
+        counts[_TRIPLES] += sum(map(operator.eq, own, own[1:])) + (own[:1] == [last])
+        last = own[-1] if own else last
+        seen.update(map(hash, own))
+    counts[_TRIPLES + 1] = words - len(seen)
     counts[:_TRIPLES] /= max(counts[:_TRIPLES].sum(), 1)
     counts[_TRIPLES:] /= max(words, 1)
     return counts.astype(np.float32)

@@ -83,3 +83,19 @@ def test_empty_and_without_labels(messy, no_docs, corpus, spark):
     none = spark.createDataFrame([], labels.schema)
     assert {r.score for r in quality.scored(messy, quality.fit(messy, none)).collect()} == {0.5}
     assert quality.scored(no_docs, quality.fit(no_docs, labels)).collect() == []
+
+
+@pytest.mark.parametrize("text", [
+    "a bb  a a\n" * 40, " lead a a b", "x" * 100, "", " ", "éß 中文 🙂 éß éß 中文!! " * 9, "tail cut wordword"])
+def test_shares_do_not_depend_on_slices(monkeypatch, text):
+    whole = quality.shares(text)
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(quality, "_SLICE", size)
+        assert (quality.shares(text) == whole).all()
+
+
+def test_long_repeated_list_counts_as_repeated():
+    words = " ".join(f"w{i}" for i in range(150_000))
+    once, twice = quality.shares(words), quality.shares(words + " " + words)
+    assert len(words) > quality._SLICE
+    assert once[-1] == 0 and twice[-1] == 0.5
