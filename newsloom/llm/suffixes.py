@@ -53,7 +53,11 @@ PERIOD = 133
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 #: Two samples at the same distance start this many equal bytes at least.
 WINDOW = LENGTH - PERIOD + 1
-CHUNK_BYTES = 8 << 20
+#: Text in one chunk.  A worker's memory follows it: about 90 bytes for each byte
+#: of a chunk in which everything repeats (tested).
+CHUNK_BYTES = 2 << 20
+#: Chunks that one task works through, one after the other.
+TASK_CHUNKS = 16
 #: Entries that a bucket is meant to hold; the number of buckets follows the input.
 BUCKET_ENTRIES = 1 << 20
 _SLICE = 1 << 20
@@ -201,21 +205,23 @@ class Entries:
 
     @classmethod
     def of(cls, prints: np.ndarray) -> Entries:
-        values, place, times = np.unique(prints, return_inverse=True, return_counts=True)
-        return cls(values, place, times > 1)
+        order = np.argsort(prints, kind="stable").astype(np.int32)
+        values = prints[order]
+        new = np.append(True, values[1:] != values[:-1])[:len(values)]
+        values = values[new]
+        place = np.empty(len(order), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        return cls(values, place, np.bincount(place, minlength=len(values)) > 1)
 
     def rows(self, chunk: int, kind: int, bits: int, width: int) -> Iterator[tuple]:
-        """One row per bucket: the values below the bucket's bits, most
-        significant bytes first and together, as they are sorted."""
-        ends = np.searchsorted(self.values >> np.uint64(64 - bits),
-                               np.arange(1 << bits, dtype=np.uint64), side="right")
-        first = 0
-        for bucket, last in enumerate(ends.tolist()):
-            if last > first:
-                cut = (self.values[first:last] << np.uint64(bits)).astype(">u8")
-                planes = cut.view(np.uint8).reshape(-1, 8)[:, :width].T
-                yield chunk, kind, bucket, last - first, planes.tobytes()
-            first = last
+        """One row per bucket that occurs: the values below the bucket's bits,
+        most significant bytes first and together, as they are sorted."""
+        buckets = self.values >> np.uint64(64 - bits)
+        starts = np.nonzero(np.append(True, buckets[1:] != buckets[:-1]))[0] if len(buckets) else []
+        for first, last in zip(starts, np.append(starts[1:], len(buckets))):
+            cut = (self.values[first:last] << np.uint64(bits)).astype(">u8")
+            planes = cut.view(np.uint8).reshape(-1, 8)[:, :width].T
+            yield chunk, kind, int(buckets[first]), int(last - first), planes.tobytes()
 
 
 def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -283,6 +289,7 @@ def _candidates(chunk: Chunk, answers: pa.Table) -> Candidates:
     samples = chunk.samples()
     entries = Entries.of(window_prints(chunk.data, samples, WINDOW))
     tied = samples[(_bits(answers, _SAMPLES, "shared") | entries.repeated)[entries.place]]
+    del samples, entries
     long = chunk.long_documents()
     documents = Entries.of(chunk.document_prints(long))
     shared = (_bits(answers, _DOCUMENTS, "shared") | documents.repeated)[documents.place]
@@ -302,7 +309,8 @@ def _candidates(chunk: Chunk, answers: pa.Table) -> Candidates:
             steps = np.zeros(usable + 1, np.int32)
             np.add.at(steps, np.minimum(np.maximum(own - start - PERIOD + 1, 0), usable), 1)
             np.add.at(steps, np.minimum(own - start + 1, usable), -1)
-            parts.append(np.nonzero(np.cumsum(steps[:-1]))[0] + start)
+            parts.append(np.nonzero(np.cumsum(steps[:-1], dtype=np.int32))[0] + start)
+            del steps
     return Candidates(np.concatenate(parts) if parts else np.zeros(0, np.int64), long[shared])
 
 
@@ -316,7 +324,7 @@ def _removed(chunk: Chunk, answers: pa.Table) -> np.ndarray:
     np.add.at(steps, tied + LENGTH, -1)
     steps[chunk.bounds[found.whole]] += 1
     np.add.at(steps, chunk.bounds[found.whole + 1], -1)
-    return np.cumsum(steps[:-1]) > 0
+    return np.cumsum(steps[:-1], dtype=np.int32) > 0
 
 
 # --- the jobs -----------------------------------------------------------------
@@ -327,12 +335,15 @@ def _stored_chunks(docs: DataFrame, text_column: str, chunk_bytes: int) -> tuple
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     name = f"newsloom_chunks_{uuid.uuid4().hex}"
-    tasks = min(100_000, max(1, math.ceil(total / (4 * chunk_bytes))))
+    tasks = min(100_000, max(1, math.ceil(total / (TASK_CHUNKS * chunk_bytes))))
     (packed(docs, text_column, chunk_bytes).write.format("parquet")
      .option("compression", "none").option("path", new_work_path(spark, "chunks"))
      .bucketBy(tasks, "chunk").saveAsTable(name))
+    chunks = spark.table(name)
+    # Plans keep the files and their buckets; the name is no longer needed.
+    spark.sql(f"DROP TABLE {name}")
     entries = max(1, total * len(COVER) // PERIOD)
-    return spark.table(name), max(3, math.ceil(math.log2(entries / BUCKET_ENTRIES + 1)))
+    return chunks, max(3, math.ceil(math.log2(entries / BUCKET_ENTRIES + 1)))
 
 
 def without_repeats(docs: DataFrame, text_column: str, finish: Callable[[Chunk, np.ndarray],

@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newsloom.llm import suffixes
@@ -92,3 +93,41 @@ def test_texts_do_not_move_again(messy):
 def test_empty(no_docs):
     assert got(no_docs) == []
     assert suffixes.deduplicated(no_docs).collect() == []
+
+
+def test_memory_of_a_chunk_that_repeats_as_a_whole():
+    """What a worker takes for a chunk of two equal halves, beside the texts."""
+    import tracemalloc
+
+    half = np.random.default_rng(0).integers(97, 123, suffixes.CHUNK_BYTES // 2, dtype=np.uint8)
+    batch = pa.record_batch({"text": pa.array([half.tobytes().decode(), half.tobytes().decode() + "x"])})
+    chunk = suffixes.Chunk.open(suffixes._pack([batch]), "text")
+    suffixes._tables()
+
+    def answered(rows):
+        return [(*row[:4], np.packbits(np.zeros(row[3], bool)).tobytes(),
+                 np.packbits(np.ones(row[3], bool)).tobytes()) for row in rows]
+
+    def table(rows):
+        return pa.table(dict(zip(["chunk", "kind", "bucket", "n", "shared", "first"], zip(*rows))))
+
+    tracemalloc.start()
+    samples = suffixes.Entries.of(suffixes.window_prints(chunk.data, chunk.samples(), suffixes.WINDOW))
+    documents = suffixes.Entries.of(chunk.document_prints(chunk.long_documents()))
+    known = answered([*samples.rows(1, 0, 12, 4), *documents.rows(1, 1, 12, 8)])
+    del samples, documents
+    found = suffixes._candidates(chunk, table(known))
+    assert len(found.suffixes) > 0.99 * suffixes.CHUNK_BYTES - 1000
+    entries = suffixes.Entries.of(suffixes.window_prints(chunk.data, found.suffixes, suffixes.LENGTH))
+    known += answered(entries.rows(1, 2, 12, 8))
+    del entries, found
+    removed = suffixes._removed(chunk, table(known))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert removed[:-1].all() and peak < 90 * suffixes.CHUNK_BYTES
+
+
+def test_only_buckets_that_occur_make_rows():
+    entries = suffixes.Entries.of(np.array([5, 5, 1 << 63, 7], np.uint64))
+    rows = list(entries.rows(3, 0, 20, 8))
+    assert [(r[2], r[3]) for r in rows] == [(0, 2), (1 << 19, 1)] and entries.repeated.tolist() == [True, False, False]
