@@ -10,26 +10,31 @@ How this scales
 ---------------
 * Equal signatures first fold into their best-ranked member by one aggregate,
   so verbatim copies never meet in a join.
-* Candidates come from equi-joins on keys.  Tokens are ordered rare ones first;
-  if a story of m tokens needs o shared ones, some shared token stands among
-  its first m-o+1 and two among its first m-o+2.  Rare tokens are keys on
+* The best-ranked stories, up to a fixed number, are scanned in rank order by
+  one task that keeps an index of the kept ones.  No pair is listed, so a family
+  of similar stories costs one comparison a member.
+* Beyond that, stories are worked off in batches, each several times as large as
+  the one before.  Stories kept so far first remove everything near them; what
+  is left of a batch is resolved by pairs (prefix-based greedy maximal
+  independent set), found by equi-joins on keys.  Tokens are ordered rare ones
+  first; if a story of m tokens needs o shared ones, some shared token stands
+  among its first m-o+1 and two among its first m-o+2.  Rare tokens are keys on
   their own; frequent ones only in pairs, which are far rarer (a signature is
-  short, so its pairs are bounded).  That loses no pair.  Stories so short that
-  one shared token makes them near ask for single tokens, and only the tokens
-  they hold are offered one by one.
-* Stories are numbered in rank order and worked off in growing batches
-  (prefix-based greedy maximal independent set).  Stories kept in one batch
-  remove everything near them from the rest in one join before the next batch
-  looks for pairs, so a large family of similar stories costs one comparison
-  per member beyond the batch it starts in, also if all have the same score.
+  short, so its pairs are bounded).  That loses no pair.
+* :func:`first_distinct` finds the first few kept stories of many rankings at
+  once, without collapsing any of them further than that.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import token_signature
 from ..lexicon import DEFAULT_LEXICON, Lexicon
@@ -44,8 +49,9 @@ class Tuning:
     """Speed settings; none of them changes the result."""
 
     frequent: int = 128  # a token in more signatures than this is frequent
-    first_batch: int = 128
+    first_batch: int = 4096  # stories that one task scans, about 1 KB each
     growth: int = 8
+    block: int = 256  # stories of one ranking that are scanned at a time
 
 
 def signatures(df: DataFrame, rank: str, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
@@ -184,46 +190,82 @@ def _resolve(pairs: DataFrame) -> DataFrame:
     return kept_early.groupBy("late.id").agg(F.min("early").alias("leader"))
 
 
+class _Kept:
+    """Stories kept so far and an index of their tokens."""
+
+    def __init__(self, threshold: float) -> None:
+        self.threshold = threshold
+        self.sizes: list[int] = []
+        self.holders: dict[str, list[int]] = defaultdict(list)
+
+    def first_near(self, tokens: Sequence[str]) -> int | None:
+        """The number of the first kept story that is near, if any."""
+        shared: Counter = Counter()
+        for token in tokens:
+            shared.update(self.holders.get(token, ()))
+        return min((k for k, n in shared.items()
+                    if n / min(len(tokens), self.sizes[k]) >= self.threshold), default=None)
+
+    def add(self, tokens: Sequence[str]) -> None:
+        for token in tokens:
+            self.holders[token].append(len(self.sizes))
+        self.sizes.append(len(tokens))
+
+
+def _scanned(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, rank, tokens, leader) of few rows, by one scan in rank order."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("rank", "ascending"), ("id", "ascending")])
+        kept, names, leaders = _Kept(threshold), [], []
+        for rank, name, tokens in zip(*(table.column(c).to_pylist() for c in ("rank", "id", "tokens"))):
+            near = kept.first_near(tokens)
+            leaders.append(None if near is None else names[near])
+            if near is None:
+                kept.add(tokens)
+                names.append({"rank": rank, "id": name})
+        leader = pa.array(leaders, pa.struct([("rank", pa.int64()), ("id", pa.string())]))
+        return table.select(["id", "rank", "tokens"]).append_column("leader", leader)
+
+    return rows.select("id", "rank", "tokens", F.lit(0).alias("_all")).groupBy("_all").applyInArrow(
+        run, "id string, rank long, tokens array<string>, leader struct<rank: long, id: string>")
+
+
 def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
-                         lexicon: Lexicon = DEFAULT_LEXICON, enough: int | None = None,
+                         lexicon: Lexicon = DEFAULT_LEXICON,
                          tuning: Tuning = Tuning()) -> DataFrame:
     """Every story with the kept story it retells: (id, rank, leader).
 
     ``leader`` is NULL for stories that are kept themselves.  ``article_id``
-    must be unique; ``rank`` names a whole-number column, ties go by id.  With
-    ``enough`` only the top of the ranking is returned, as far as it takes to
-    keep that many stories.  Runs Spark jobs; the result is a stored table.
+    must be unique; ``rank`` names a number column, ties go by id.  Runs Spark
+    jobs; the result is a stored table.
     """
     sigs = cut_lineage(signatures(df, rank, lexicon), "signatures")
     # From here on ``rank`` is the place in the order of rank and id.
     places = numbered(_fold_copies(sigs), ["rank", "id"], "story-order", "place")
-    rest = cut_lineage(_prepare(places.select("id", F.col("place").alias("rank"), "tokens"),
-                                threshold, tuning), "tokens")
-    total = rest.count()
-    cuts, size = [], tuning.first_batch
-    while size < total:
-        cuts.append(size - 1)
-        size *= tuning.growth
-
-    links = None
-    kept_n = 0
-    for cut in [*cuts, None]:
-        batch = rest if cut is None else rest.filter(F.col("rank") <= cut)
-        pairs = cut_lineage(_pairs_within(batch, threshold), "pairs")
-        lost = _resolve(pairs)
-        decided = cut_lineage(batch.select("id", "rank", "tokens", "codes", "m", "needed", "n_rare",
-                                           "asked").join(lost, "id", "left"), "decided")
-        links = _verdicts(decided) if links is None else links.unionByName(_verdicts(decided))
-        if cut is None:
-            break
+    places = places.select("id", F.col("place").alias("rank"), "tokens")
+    first = tuning.first_batch
+    decided = cut_lineage(_scanned(places.where(F.col("rank") < first), threshold), "decided")
+    links = _verdicts(decided)
+    rest, cut = None, first
+    if not decided.where(F.col("rank") == first - 1).isEmpty():  # else the scan saw them all
+        prepared = cut_lineage(_prepare(places, threshold, tuning), "tokens")
+        rest = prepared.where(F.col("rank") >= first)
+        total = prepared.count()
+        decided = prepared.where(F.col("rank") < first).join(
+            decided.select("id", "leader"), "id")
+    while rest is not None:
         leaders = decided.filter("leader IS NULL").drop("leader")
-        kept_n += leaders.count()
-        if enough is not None and kept_n >= enough:
-            break
-        later = rest.filter(F.col("rank") > cut)
-        gone = cut_lineage(_first_leader(leaders, later, threshold), "near-leaders")
+        gone = cut_lineage(_first_leader(leaders, rest, threshold), "near-leaders")
         links = links.unionByName(_verdicts(gone))
-        rest = cut_lineage(later.join(gone, "id", "left_anti"), "rest")
+        rest = cut_lineage(rest.join(gone, "id", "left_anti"), "rest")
+        if cut >= total:
+            break
+        cut *= tuning.growth
+        batch = rest.filter(F.col("rank") < cut)
+        lost = _resolve(cut_lineage(_pairs_within(batch, threshold), "pairs"))
+        decided = cut_lineage(batch.join(lost, "id", "left"), "decided")
+        links = links.unionByName(_verdicts(decided))
+        rest = rest.filter(F.col("rank") >= cut)
 
     out = _members(sigs).join(links, "first_id").select(
         "id", "rank", F.coalesce("leader", F.when(F.col("id") != F.col("first_id"),
@@ -247,8 +289,73 @@ def _members(sigs: DataFrame) -> DataFrame:
 
 
 def collapse_near_duplicates(df: DataFrame, rank: str, threshold: float = THRESHOLD,
-                             lexicon: Lexicon = DEFAULT_LEXICON, enough: int | None = None,
+                             lexicon: Lexicon = DEFAULT_LEXICON,
                              tuning: Tuning = Tuning()) -> DataFrame:
     """(article_id) of the stories that are kept."""
-    links = near_duplicate_links(df, rank, threshold, lexicon, enough, tuning)
+    links = near_duplicate_links(df, rank, threshold, lexicon, tuning)
     return links.filter("leader IS NULL").select(F.col("id").alias("article_id"))
+
+
+def first_distinct(df: DataFrame, by: str, rank: str, n: int, threshold: float = THRESHOLD,
+                   lexicon: Lexicon = DEFAULT_LEXICON, tuning: Tuning = Tuning()) -> DataFrame:
+    """(by, article_id) of the first ``n`` stories of every ranking that no
+    earlier kept one is near; ``by`` names the ranking and may be NULL.
+
+    Each round takes the next block of every ranking that is not full, which map
+    tasks cut to that many rows, and scans it against the few stories kept so
+    far.  Before the block is taken, all stories near a kept one are removed
+    where they are, so the first row of a block is always kept: there are at
+    most ``n`` rounds, mostly one, and no task sees more than a block.
+    Runs Spark jobs; the result is a stored table.
+    """
+    rows = df.select(F.col(by).alias("by"), F.col("article_id").alias("id"),
+                     F.col(rank).cast("double").alias("rank"), "title", "summary")
+    tokens = F.array_sort(token_signature(F.col("title"), F.col("summary"), lexicon))
+    order = Window.partitionBy("by").orderBy("rank", "id")
+    kind = df.schema[by].dataType.simpleString()
+    schema = f"by {kind}, id string, rank double, tokens array<string>, fresh boolean"
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("fresh", "ascending"), ("rank", "ascending"), ("id", "ascending")])
+        kept, chosen = _Kept(threshold), []
+        for i, (own, fresh) in enumerate(zip(table.column("tokens").to_pylist(),
+                                             table.column("fresh").to_pylist())):
+            if len(chosen) < n and (not fresh or kept.first_near(own) is None):
+                kept.add(own)
+                chosen.append(i)
+        return table.take(chosen).select(["by", "id", "rank", "tokens", "fresh"])
+
+    def block(of: DataFrame) -> DataFrame:
+        taken = of.withColumn("_place", F.row_number().over(order)).where(
+            F.col("_place") <= tuning.block)
+        return taken.select("by", "id", "rank", tokens.alias("tokens"), F.lit(True).alias("fresh"))
+
+    def scanned(of: DataFrame, name: str) -> DataFrame:
+        return cut_lineage(of.groupBy("by").applyInArrow(run, schema), name)
+
+    kept = scanned(block(rows), "first-distinct")
+    done = None
+    while True:
+        # Rankings that still want stories, with what they have: at most n signatures each.
+        per = kept.groupBy(F.col("by").alias("open_by")).agg(
+            F.count("*").alias("have"), F.collect_list("tokens").alias("held"),
+            F.max(F.struct("rank", "id")).alias("last"))
+        full = per.where(F.col("have") >= n).select("open_by")
+        finished = kept.join(full, kept["by"].eqNullSafe(full["open_by"]), "left_semi")
+        done = finished if done is None else done.unionByName(finished)
+        wanting = per.where(F.col("have") < n)
+        if wanting.isEmpty():
+            break
+        near = F.exists("held", lambda other: is_near(tokens, other, threshold))
+        # Nothing before the last kept story can be kept any more.
+        later = F.struct(F.col("rank"), F.col("id")) > F.col("last")
+        left = (rows.join(wanting, F.col("by").eqNullSafe(F.col("open_by")) & later)
+                .where(~near).select(*rows.columns))
+        more = cut_lineage(block(left), "next-distinct")
+        open_kept = kept.join(wanting, F.col("by").eqNullSafe(F.col("open_by"))).select(
+            "by", "id", "rank", "tokens", F.lit(False).alias("fresh"))
+        if more.isEmpty():
+            done = done.unionByName(open_kept)
+            break
+        kept = scanned(open_kept.unionByName(more), "first-distinct")
+    return done.select(F.col("by").alias(by), F.col("id").alias("article_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .filters import any_market, one_market
-from .neardup import collapse_near_duplicates
+from .neardup import first_distinct
 
 TOP_STORIES = 20
 TOP_DIGEST = 25
@@ -27,10 +27,10 @@ def curated_order() -> list[Column]:
 
 
 def rank_value() -> Column:
-    """Higher scores first, as a whole number: the score in units of 2^-52,
-    which is exact for scores from 2^-53 up to 1024."""
-    score = F.coalesce("relevance_score", F.lit(0.0)).cast("double")
-    return -(score * F.lit(float(1 << 52))).cast("bigint")
+    """Higher scores first, with all their digits and of any size; a missing
+    score and one that is no number rank like 0."""
+    return F.lit(0.0) - F.coalesce(F.nanvl(F.col("relevance_score").cast("double"), F.lit(0.0)),
+                                   F.lit(0.0))
 
 
 def tie_value() -> Column:
@@ -44,14 +44,15 @@ def select_top(df: DataFrame, top_n: int = TOP_STORIES,
     """Stories of a briefing, best first.
 
     Retellings are dropped before the cut, so the next distinct story moves
-    up.  The collapse works down the ranking in batches and stops as soon as
-    ``top_n`` stories are certain, however large the table is.
+    up.  Only the first blocks of the ranking are compared, however large the
+    table is.
     """
     rows = any_market(df, markets)
     ranked = rows.withColumns({"_rank": rank_value(), "_tie": tie_value()})
     if collapse:
-        named = ranked.select(F.col("_tie").alias("article_id"), "_rank", "title", "summary")
-        kept = collapse_near_duplicates(named, rank="_rank", enough=top_n)
+        named = ranked.select(F.lit(0).alias("_all"), F.col("_tie").alias("article_id"), "_rank",
+                              "title", "summary")
+        kept = first_distinct(named, "_all", "_rank", top_n)
         ranked = ranked.join(kept.select(F.col("article_id").alias("_tie")), "_tie", "left_semi")
     return ranked.orderBy("_rank", "_tie").limit(top_n).drop("_rank", "_tie")
 

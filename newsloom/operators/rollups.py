@@ -6,15 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Below this size scores are averaged exactly.
+EXACT_BELOW = 1e9
+
+
 def average_score() -> Column:
     """Mean relevance to three places, half up.
 
-    Scores are added up as decimals of 15 places, so the result does not depend
-    on how partitions are added up, and no digit of a caller's scorer is lost.
+    Whole parts are added up as integers and the rest as decimals of 15 places,
+    so the result does not depend on how partitions are added up, and no digit
+    of a caller's scorer is lost.  Groups with a score of ``EXACT_BELOW`` or more
+    are averaged as doubles; what is no finite number is left out.
     """
-    total = F.sum(F.col("relevance_score").cast("decimal(18,15)"))
-    n = F.count("relevance_score")
-    return F.floor((total * 2000 + n) / (n * 2)).cast("double") / F.lit(1000.0)
+    score = F.col("relevance_score").cast("double")
+    usable = F.when(F.abs(score) < float("inf"), score)
+    small = F.when(F.abs(score) < EXACT_BELOW, score)
+    n = F.count(small)
+    whole = F.sum(F.floor(small))
+    over = F.pmod(whole, n)
+    rest = F.sum((small - F.floor(small)).cast("decimal(18,15)"))
+    exact = (F.round((whole - over) / n).cast("long") * 1000
+             + F.floor((rest * 2000 + over * 2000 + n) / (n * 2))).cast("double") / F.lit(1000.0)
+    return F.when(F.max(F.abs(usable)) < EXACT_BELOW, exact).otherwise(F.round(F.avg(usable), 3))
 
 
 def by_market_day(df: DataFrame) -> DataFrame:

@@ -491,10 +491,15 @@ def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- briefings --------------------------------------------------------------
 
+def with_reports(rows: DataFrame) -> DataFrame:
+    """One report per day and market."""
+    return rows.withColumn("report_id", F.concat_ws(
+        "/", F.date_format("published_date", "yyyy-MM-dd"), "primary_market"))
+
+
 def stories(spark: SparkSession, sf_dir: str, n: int = ranking.TOP_STORIES) -> DataFrame:
     """The best stories of one report per day and market."""
-    report = F.concat_ws("/", F.date_format("published_date", "yyyy-MM-dd"), "primary_market")
-    return briefing.top_per_report(curated(spark, sf_dir).withColumn("report_id", report), n)
+    return briefing.top_per_report(with_reports(curated(spark, sf_dir)), n)
 
 
 def analyses(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
@@ -553,6 +558,35 @@ def reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return cut_lineage(full, "reports"), chosen
 
 
+def briefings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(reports, stories) from start to end: of each report the best stories that
+    retell no better one, sections, points, summary, glossary and header."""
+    picked = briefing.distinct_per_report(
+        cut_lineage(with_reports(curated(spark, sf_dir)), "report-stories"), ranking.TOP_STORIES)
+    chosen = cut_lineage(sections.with_section(picked), "stories")
+    chosen = briefing.with_analyses(chosen, analyses(spark, sf_dir, chosen))
+    points = bullets(chosen)
+    body = briefing.assemble(briefing.report_lines(chosen, points))
+    wanted = cut_lineage(briefing.glossary_terms(body), "wanted")
+    terms = briefing.glossary(wanted, definitions(wanted))
+    full = briefing.assemble(briefing.report_lines(chosen, points, terms))
+    return cut_lineage(full, "briefings"), chosen
+
+
+@query
+def briefing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole briefings, one per day and market, as they are published."""
+    done, chosen = briefings(spark, sf_dir)
+    return briefing.finished(done, chosen, DAYS, "given-model", filters.lit_timestamp(AS_OF))
+
+
+@query
+def briefing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit finds in the bodies of whole briefings."""
+    done, chosen = briefings(spark, sf_dir)
+    return quality.audit(done, chosen)
+
+
 @query
 def batch_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return briefing.batch_prompts(stories(spark, sf_dir))

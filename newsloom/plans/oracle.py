@@ -220,6 +220,19 @@ CTES: dict[str, str] = {
         row_number() OVER (PARTITION BY published_date, primary_market
           ORDER BY relevance_score DESC, published_date, article_id) AS rank
         FROM sectioned QUALIFY rank <= 20""",
+    "pool": """SELECT *, strftime(published_date, '%Y-%m-%d') || '/' || primary_market AS report_id,
+        row_number() OVER (PARTITION BY published_date, primary_market
+          ORDER BY relevance_score DESC, published_date, article_id) AS place, {tokens} AS tokens FROM sectioned""",
+    "close": """SELECT b.report_id, b.place AS late, list(a.place) AS earlier FROM pool a JOIN pool b
+        ON a.report_id = b.report_id AND a.place < b.place AND len(a.tokens) > 0 AND len(b.tokens) > 0
+        AND len(list_intersect(a.tokens, b.tokens)) / least(len(a.tokens), len(b.tokens)) >= 0.375
+        GROUP BY b.report_id, b.place""",
+    "stroll": """SELECT DISTINCT report_id, CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS chosen FROM pool
+      UNION ALL
+      SELECT w.report_id, w.place + 1, CASE WHEN list_has_any(w.chosen, coalesce(n.earlier, [])) THEN w.chosen
+             ELSE list_append(w.chosen, w.place + 1) END
+      FROM stroll w JOIN pool r ON r.report_id = w.report_id AND r.place = w.place + 1
+      LEFT JOIN close n ON n.report_id = r.report_id AND n.late = r.place""",
     "answer": """SELECT conv_id, max(CASE WHEN turn % 4 = 0 THEN text END) AS a0, max(CASE WHEN turn % 4 = 1 THEN text END) AS a1,
         max(CASE WHEN turn % 4 = 2 THEN text END) AS a2, max(CASE WHEN turn % 4 = 3 THEN text END) AS a3
         FROM conversations GROUP BY conv_id""",
@@ -327,13 +340,13 @@ CTES["strengths"] = f"""SELECT *, {_count(PILLARS['E'])} AS se,
     {_count(FINANCE_TERMS)} AS fin FROM curated"""
 
 _ORDER = ("joined", "articles0", "articles", "lowered", "tagged", "enriched", "gated", "url_best", "title_best",
-          "curated", "strengths", "sectioned", "ranked", "near", "walk", "kept", "story", "answer", "told", "bullet",
+          "curated", "strengths", "sectioned", "ranked", "near", "walk", "kept", "pool", "close", "stroll", "story", "answer", "told", "bullet",
           "block_text", "body", "wanted", "glossary", "report", "damaged", "feed", "fetches", "item", "run",
           "feed_run", "health")
 
 
 # The walk reads these once per row of the ranking.
-_KIND = {"ranked": "MATERIALIZED", "near": "MATERIALIZED", "curated": "MATERIALIZED"}
+_KIND = {"pool": "MATERIALIZED", "close": "MATERIALIZED", "ranked": "MATERIALIZED", "near": "MATERIALIZED", "curated": "MATERIALIZED"}
 
 
 def _fill(text: str) -> str:
@@ -342,18 +355,26 @@ def _fill(text: str) -> str:
     return text
 
 
-def with_ctes(last: str, select: str) -> str:
-    """The query after all common table expressions that it needs."""
+#: The stories of whole briefings, in place of those of the plain top 20.
+_DISTINCT_STORY = """SELECT p.* EXCLUDE (place, tokens), row_number() OVER (PARTITION BY p.report_id ORDER BY p.place) AS rank
+        FROM pool p JOIN (SELECT report_id, arg_max(chosen, place) AS chosen FROM stroll GROUP BY report_id) c
+        ON c.report_id = p.report_id AND list_contains(c.chosen, p.place) QUALIFY rank <= 20"""
+
+
+def with_ctes(last: str, select: str, **other: str) -> str:
+    """The query after all common table expressions that it needs; ``other``
+    replaces some of them."""
+    parts_of = CTES | other
     needed, todo = set(), last.split()
     while todo:
         name = todo.pop()
         if name not in needed:
             needed.add(name)
-            body = " " + CTES[name].replace(",", " ").replace("(", " ").replace(")", " ") + " "
+            body = " " + parts_of[name].replace(",", " ").replace("(", " ").replace(")", " ") + " "
             todo += [n for n in _ORDER if n != name
                      and (f"FROM {n} " in body or f"JOIN {n} " in body or f"FROM {n}\n" in body or f"JOIN {n}\n" in body)]
-    parts = [f"{n} AS {_KIND.get(n, '')} (\n{_fill(CTES[n])})" for n in _ORDER if n in needed]
-    kind = "WITH RECURSIVE" if "walk" in needed else "WITH"
+    parts = [f"{n} AS {_KIND.get(n, '')} (\n{_fill(parts_of[n])})" for n in _ORDER if n in needed]
+    kind = "WITH RECURSIVE" if needed & {"walk", "stroll"} else "WITH"
     return f"{kind} " + ",\n".join(parts) + "\n" + _fill(select)
 
 
@@ -534,6 +555,14 @@ def statements() -> dict[str, str]:
         "summary_bullets": with_ctes("bullet", "SELECT report_id, string_agg(bullet, '|' ORDER BY rank) AS bullets FROM bullet GROUP BY 1"),
         "section_groups": None,
         "report_text": with_ctes("report", "SELECT report_id, markdown FROM report"),
+        "briefing_text": with_ctes("report", f"""SELECT report_id, '# Weekly sustainability report' || chr(10) || chr(10) ||
+            '**Period:** last 7 days, ' || {day('first')} || ' to ' || {day('last')} || '  ' || chr(10) || '**Stories:** ' || n ||
+            ', best first, retellings left out  ' || chr(10) || '**Outlets:** ' || names || '  ' || chr(10) ||
+            '**Written:** 2026-08-14 12:00 UTC by `given-model`' || chr(10) || chr(10) || '---' || chr(10) || chr(10) ||
+            markdown || chr(10) AS markdown FROM report JOIN (SELECT report_id, min(published_date) AS first,
+              max(published_date) AS last, count(*) AS n, array_to_string(list_sort(list_distinct(list(source_name))), ', ') AS names
+              FROM story GROUP BY report_id) USING (report_id)""", story=_DISTINCT_STORY),
+        "briefing_audit": with_ctes("report", _AUDIT.replace("damaged", "report"), story=_DISTINCT_STORY),
         "report_glossary": with_ctes("glossary", "SELECT report_id, position, term, meaning FROM glossary"),
         "report_headers": with_ctes("story", f"""SELECT report_id, {day('min(published_date)')} || ' to ' || {day('max(published_date)')} AS "window",
             count(*) AS article_count, array_to_string(list_sort(list_distinct(list(source_name))), ', ') AS sources FROM story GROUP BY 1"""),

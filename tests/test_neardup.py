@@ -69,7 +69,8 @@ def random_stories(seed, n, words, hot=0.0):
 @pytest.mark.parametrize("seed,tuning", [
     (1, neardup.Tuning()),
     (2, neardup.Tuning(frequent=3, first_batch=25, growth=3)),
-    (4, neardup.Tuning(frequent=1, first_batch=1000)),
+    (3, neardup.Tuning(frequent=3, first_batch=1, growth=200)),
+    (4, neardup.Tuning(frequent=1, first_batch=110)),
 ])
 def test_equals_sequential_scan(spark, seed, tuning):
     df = table(spark, random_stories(seed, 110, 50, hot=0.3))
@@ -92,13 +93,40 @@ def test_threshold_is_inclusive(spark):
     assert list(links(table(spark, [(eight, ""), (other, "")])).values()) == [None, f"{0:032x}"]
 
 
-def test_enough_stops_early_but_exactly(spark):
-    df = table(spark, random_stories(9, 120, 40, hot=0.4))
-    want = [k for k, v in scan(df).items() if v is None]
-    tuning = neardup.Tuning(frequent=3, first_batch=20, growth=2)
-    got = neardup.near_duplicate_links(df, "r", enough=9, tuning=tuning)
-    kept = [r.id for r in got.filter("leader IS NULL").orderBy("rank", "id").collect()]
-    assert kept[:9] == want[:9] and got.count() < 120
+def distinct(df, n, **tuning):
+    """Kept ids of every ranking in order."""
+    got = neardup.first_distinct(df, "report", "r", n, tuning=neardup.Tuning(**tuning))
+    out = {}
+    for r in got.join(df.select("article_id", "r", F.col("report").alias("of")), "article_id").where(
+            "report <=> of").orderBy("r", "article_id").collect():
+        out.setdefault(r.report, []).append(r.article_id)
+    return out
+
+
+@pytest.mark.parametrize("block", [256, 7, 1])
+def test_first_distinct_of_every_ranking(spark, block):
+    df = table(spark, random_stories(9, 160, 40, hot=0.4)).withColumn(
+        "report", F.when(F.col("r") % 5 > 0, (F.col("r") % 3).cast("string")))
+    expected = {}
+    for report in ("0", "1", "2", None):
+        kept = [k for k, v in scan(df.where(F.col("report").eqNullSafe(report))).items() if v is None]
+        expected[report] = kept[:6]
+    assert distinct(df, 6, block=block) == expected
+
+
+def test_ranking_of_one_family_ends_in_two_rounds(spark, monkeypatch):
+    """All but a few of 600 stories tell the same: they go before the next block."""
+    rows = [(f"alpha beta gamma delta own{i}x", "") for i in range(600)] + [C, D]
+    df = table(spark, rows).withColumn("report", F.lit("all"))
+    made = []
+    real = neardup.cut_lineage
+    monkeypatch.setattr(neardup, "cut_lineage", lambda d, name: made.append(name) or real(d, name))
+    assert distinct(df, 3, block=16) == {"all": [f"{i:032x}" for i in (0, 600, 601)]}
+    assert made.count("first-distinct") == 2
+
+
+def test_first_distinct_of_nothing(spark):
+    assert distinct(table(spark, [A]).where("r > 5").withColumn("report", F.lit("x")), 3) == {}
 
 
 def candidates(df, tuning=neardup.Tuning()):
@@ -118,15 +146,18 @@ def test_one_short_story_changes_no_other_candidates(spark):
     assert candidates(table(spark, [*rows, ("solitary", "")]), tuning) <= before + 1
 
 
-def test_candidates_of_a_family_grow_in_proportion(spark):
-    def family(n):  # near copies with signatures of their own and the same rank
-        rows = [(f"{i:032x}", 0, f"alpha beta gamma delta epsilon own{i}x", "") for i in range(n)]
-        df = spark.createDataFrame(rows, "article_id string, r bigint, title string, summary string")
-        return neardup.near_duplicate_links(df, "r", tuning=neardup.Tuning(first_batch=16, growth=100))
-
-    for n in (100, 200):
-        assert family(n).where("leader IS NULL").count() == 1
-    assert neardup.Tuning().first_batch <= 128
+def test_family_is_scanned_once(spark, monkeypatch):
+    """1000 near copies with signatures and equal ranks: no pair is listed, and
+    each is compared with the one that is kept."""
+    rows = [(f"{i:032x}", 0, f"alpha beta gamma delta epsilon own{i}x", "") for i in range(1000)]
+    df = spark.createDataFrame(rows, "article_id string, r bigint, title string, summary string")
+    monkeypatch.setattr(neardup, "_pairs_within", None)
+    got = neardup.near_duplicate_links(df, "r")
+    assert [r.id for r in got.where("leader IS NULL").collect()] == [f"{0:032x}"]
+    kept = neardup._Kept(neardup.THRESHOLD)
+    kept.add(["alpha", "beta", "own0"])
+    assert sum(map(len, kept.holders.values())) == 3
+    assert kept.first_near(["alpha", "beta", "own1"]) == 0 and kept.first_near([]) is None
 
 
 def test_select_top_backfills(spark):

@@ -135,3 +135,19 @@ def test_scores_keep_all_their_digits(spark):
     assert [r.rank for r in ranking.number_stories(rows).orderBy("article_id").collect()] == [2, 1, 3, 4]
     got = {str(r.published_date): r.avg_relevance for r in rollups.by_market_day(rows).collect()}
     assert got == {"2026-08-13": 0.625, "2026-08-12": 0.333, "2026-08-11": None}
+
+
+def test_scores_of_any_size(spark):
+    from newsloom.operators import ranking, rollups
+    nan = float("nan")
+    rows = spark.createDataFrame(
+        [("a", 2500.0, 1), ("b", 2500.0004, 1), ("c", 1e6, 1), ("d", -3.5, 2), ("e", nan, 2), ("f", None, 2),
+         ("g", 5e18, 3), ("h", 1e18, 3), ("i", 4999.99950001, 4), ("j", -0.0005, 5), ("k", nan, 6)],
+        "article_id string, relevance_score double, d int").selectExpr(
+        "*", "date_add(date'2026-08-10', d) AS published_date", "array('EU') AS markets", "'EU' AS primary_market",
+        "'s' AS source_id", "concat('title', article_id, ' only', article_id) AS title", "'' AS summary")
+    assert [r.article_id for r in ranking.select_top(rows, 6).collect()] == ["g", "h", "c", "i", "b", "a"]
+    ranked = [r.article_id for r in ranking.number_stories(rows).orderBy("rank").collect()]
+    assert ranked[-5:] == ["e", "f", "k", "j", "d"]  # no score ranks like 0
+    got = {r.published_date.day: r.avg_relevance for r in rollups.by_market_day(rows).collect()}
+    assert got == {11: 335000.0, 12: -3.5, 13: 3e18, 14: 5000.0, 15: 0.0, 16: None}
