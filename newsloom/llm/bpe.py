@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_slices
+
 LONG_WORD = 96
 CACHE_WORDS = 100_000
 #: Documents of one output batch.
@@ -206,22 +208,20 @@ def encoded(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(path)
-        for whole in batches:
-            for first in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(first, SLICE)
-                packed = [codec.encode(t.as_py() or "") for t in batch.column(1)]
-                columns = [
-                    batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
-                    pa.array([hashlib.sha256(codec.decode(p).encode()).hexdigest()
-                              for p in packed])]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_ids:
-                    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
-                    values = np.frombuffer(b"".join(packed), "<i4")
-                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for batch in in_slices(batches, SLICE):
+            packed = [codec.encode(t.as_py() or "") for t in batch.column(1)]
+            columns = [
+                batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
+                pa.array([hashlib.sha256(codec.decode(p).encode()).hexdigest()
+                          for p in packed])]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
+                values = np.frombuffer(b"".join(packed), "<i4")
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return (docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))

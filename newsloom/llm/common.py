@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,3 +21,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def text_of(name: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def release_memory() -> None:
+    """Give what a task has freed back to the system.  Workers outlive a task, and
+    the next stage in them has needs of its own."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that what is made of one stays small;
+    memory is released behind each batch that comes in."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+        del batch
+        release_memory()

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_slices
+
 #: Documents of the labelled sample, neighbours that vote, and so on.
 MAX_LABELLED, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 4096, 32, 15, 8, 0.3
 _CLASSES = 12
@@ -142,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             terms = [shares(t.as_py() or "").tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(terms, pa.binary())],
@@ -170,7 +172,7 @@ def scored(docs: DataFrame, voters: Voters, id_column: str = "doc_id", text_colu
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(_scores(batch.column(1), voters))], ["doc_id", "score"])
 
@@ -186,7 +188,7 @@ def kept(docs: DataFrame, voters: Voters, text_column: str = "text",
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             yield batch.filter(pa.array(_scores(batch.column(at), voters) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

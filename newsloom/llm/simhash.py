@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import in_slices, release_memory
 from .graph import components
 
 MAX_BITS = 2
@@ -368,6 +369,8 @@ def _linked_sets(cells: DataFrame, similarity: float) -> DataFrame:
             held.append(batch.slice(last))
         if held:
             yield runs(pa.Table.from_batches(held))
+        held = []
+        release_memory()
 
     return (cells.select("cell", "node", "label", "hashes", "print").repartition("cell")
             .sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long"))
@@ -447,7 +450,7 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             node, keys = [], []
             for t in batch.column(1):
                 hashes = shingle_set(t.as_py() or "", shingles)
@@ -478,7 +481,7 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = passing.value
-        for batch in batches:
+        for batch in in_slices(batches):
             node, kept, prints = [], [], []
             for t in batch.column(0):
                 hashes = shingle_set(t.as_py() or "", shingles)

@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import cut_lineage, new_work_path
+from .common import release_memory
 
 LENGTH = 200
 #: A perfect difference cover: each remainder is a difference of two members.
@@ -359,6 +360,8 @@ def without_repeats(docs: DataFrame, text_column: str, finish: Callable[[Chunk,
                     chunk.data, chunk.samples(), WINDOW)).rows(number, _SAMPLES, bits, 4)))
                 yield _entry_batch(list(Entries.of(chunk.document_prints(
                     chunk.long_documents())).rows(number, _DOCUMENTS, bits, 8)))
+                del chunk
+            release_memory()
 
     def suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple] = []
@@ -367,6 +370,8 @@ def without_repeats(docs: DataFrame, text_column: str, finish: Callable[[Chunk,
             found = _candidates(chunk, right)
             rows += Entries.of(window_prints(chunk.data, found.suffixes, LENGTH)).rows(
                 number, _SUFFIXES, bits, 8)
+            del chunk, found
+        release_memory()
         return pa.Table.from_batches([_entry_batch(rows)])
 
     def finished(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -374,6 +379,8 @@ def without_repeats(docs: DataFrame, text_column: str, finish: Callable[[Chunk,
         for body in left.column(1):
             chunk = Chunk.open(body.as_buffer(), text_column)
             tables.append(finish(chunk, _removed(chunk, right)))
+            del chunk
+        release_memory()
         return pa.concat_tables(tables)
 
     def joined(answers: DataFrame, run, out) -> DataFrame:
