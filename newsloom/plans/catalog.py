@@ -482,13 +482,16 @@ def ingest_feed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.feed_stats(fetch_log(spark, sf_dir), fetched_items(spark, sf_dir), DAYS)
 
 
-@query
-def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = health.run_stats(ingest_feed_stats(spark, sf_dir))
+def _failures_flat(stats: DataFrame) -> DataFrame:
     return stats.withColumn("failures", F.array_join(F.transform(
         "failures", lambda f: F.concat_ws(" ", f["source_id"], f["url"], f["error"])), "|"))
 
 
+@query
+def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _failures_flat(health.run_stats(ingest_feed_stats(spark, sf_dir)))
+
+
 # --- briefings --------------------------------------------------------------
 
 def with_reports(rows: DataFrame) -> DataFrame:
@@ -700,9 +703,33 @@ def landing_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(landing.raw_rows(landing.read_landing(spark, _land_all(spark, sf_dir))))
 
 
+def _land_damaged(spark: SparkSession, sf_dir: str) -> str:
+    """The landing zone with lines cut off in some documents, and a stray file."""
+    path = _land_all(spark, sf_dir)
+    number = F.col("doc_id")
+    day = F.date_sub(F.to_date(F.lit("2026-08-14")), (number % 3).cast("int"))
+    line = F.concat(F.lit('{"article_id": "cut-'), number.cast("string"), F.lit('", "title": "half'))
+    cut = table(spark, sf_dir, "documents").select("doc_id", line.alias("value"), day.alias(
+        "ingest_date"), F.concat(F.date_format(day, "yyyyMMdd"), F.lit("T120000Z")).alias("run_id"))
+    for rows, extension in ((cut.where(number % 50 == 3), "jsonl"), (cut.where(number % 50 == 4), "json")):
+        (rows.drop("doc_id").write.mode("append").partitionBy("ingest_date", "run_id").format("csv")
+         .options(quote="", sep="\x01", header="false", extension=extension).save(path))
+    return path
+
+
 @query
 def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(landing.quarantine_counts(landing.read_landing(spark, _land_all(spark, sf_dir))))
+    scan = landing.read_landing(spark, _land_damaged(spark, sf_dir))
+    return flat(landing.quarantine_counts(scan))
+
+
+@query
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no valid rows, and whether the file named holds their run."""
+    bad = landing.quarantine(landing.read_landing(spark, _land_damaged(spark, sf_dir)))
+    place = F.concat(F.lit("/ingest_date="), F.col("ingest_date").cast("string"), F.lit("/run_id="),
+                     "run_id", F.lit("/"))
+    return flat(bad.select("ingest_date", "run_id", "line", F.contains("file", place).alias("in_place")))
 
 
 @query
@@ -715,12 +742,13 @@ def curated_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def curated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CSV export, times and lists as text, written and read back."""
+    """The CSV export, all columns, written and read back."""
     path = new_work_path(spark, "curated-csv")
-    curated_store.write_csv(ranking.stringify_times(curated(spark, sf_dir)), path)
-    return curated_store.read_csv(spark, path).select(
-        "article_id", "title", "summary", *LIST_COLUMNS, "published_ts", "fetched_ts", "event_ts",
-        "published_date", "ingest_date")
+    rows = curated(spark, sf_dir)
+    curated_store.write_csv(ranking.stringify_times(rows), path)
+    kinds = {c: k for c, k in rows.dtypes if k in ("boolean", "bigint", "double")}
+    return curated_store.read_csv(spark, path).select(*[
+        F.col(c).cast(kinds[c]) if c in kinds else F.col(c) for c in CURATED_COLUMNS])
 
 
 @query
@@ -741,12 +769,42 @@ def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stored_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run statistics appended to their tables and read back."""
+def stored_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rollups written from the stored table and read back, one below the other."""
+    where = curated_store.write_rollups(stored_curated(spark, sf_dir), new_work_path(spark, "rollups"))
+    none = F.lit(None)
+    out = None
+    for name, keys in (("by_market_day", ("primary_market", "published_date")),
+                       ("by_regulation", ("regulation", "primary_market")), ("by_topic", ("topic",)),
+                       ("by_pillar", ("pillar", "primary_market")), ("by_source", ("source_name",))):
+        rows = spark.read.parquet(where[name])
+        part = rows.select(
+            F.lit(name).alias("rollup"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
+            "article_count", (F.col("avg_relevance") if "avg_relevance" in rows.columns
+                              else none.cast("double")).alias("avg_relevance"),
+            (F.col("source_count") if "source_count" in rows.columns
+             else none.cast("long")).alias("source_count"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _stored_stats(spark: SparkSession, sf_dir: str) -> str:
     base = new_work_path(spark, "stats")
     per_feed = cut_lineage(ingest_feed_stats(spark, sf_dir), "feed-stats")
     curated_store.append_stats(per_feed, health.run_stats(per_feed), base)
-    return spark.read.parquet(f"{base}/run_stats").drop("failures")
+    return base
+
+
+@query
+def stored_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run statistics appended to their table and read back, failures included."""
+    return _failures_flat(spark.read.parquet(f"{_stored_stats(spark, sf_dir)}/run_stats"))
+
+
+@query
+def stored_feed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of feeds appended to their table and read back."""
+    return spark.read.parquet(f"{_stored_stats(spark, sf_dir)}/feed_stats")
 
 
 @query

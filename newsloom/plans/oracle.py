@@ -577,13 +577,15 @@ def statements() -> dict[str, str]:
             SELECT unnest({_terms("concat_ws(' ', title, summary)")}) AS term FROM articles) GROUP BY 1"""),
         "landing_round_trip": with_ctes("articles", _RAW_SELECT),
         "landing_counts": with_ctes("articles", f"""SELECT {day("d")} AS ingest_date, strftime(d, '%Y%m%d') || 'T120000Z' AS run_id,
-            count(*) AS lines, CAST(0 AS BIGINT) AS corrupt, count(url) AS with_url
-            FROM (SELECT *, DATE '2026-08-14' - CAST(doc_id % 3 AS INT) AS d FROM articles) GROUP BY d"""),
+            count(*) + count(*) FILTER (WHERE doc_id % 50 = 3) AS lines, count(*) FILTER (WHERE doc_id % 50 = 3) AS corrupt,
+            count(url) AS with_url FROM (SELECT *, DATE '2026-08-14' - CAST(doc_id % 3 AS INT) AS d FROM articles) GROUP BY d"""),
+        "landing_quarantine": f"""SELECT {day("d")} AS ingest_date, strftime(d, '%Y%m%d') || 'T120000Z' AS run_id,
+            '{{"article_id": "cut-' || doc_id || '", "title": "half' AS line, true AS in_place
+            FROM (SELECT doc_id, DATE '2026-08-14' - CAST(doc_id % 3 AS INT) AS d FROM documents WHERE doc_id % 50 = 3)""",
         "curated_round_trip": with_ctes("curated", _curated_select()),
         "curated_jsonl": with_ctes("curated", _curated_select()),
-        "curated_csv": with_ctes("curated", _curated_select(("article_id", "title", "summary", *LIST_COLUMNS, "published_ts", "fetched_ts",
-                                                             "event_ts", "published_date", "ingest_date"))),
-        "stored_rollup": None, "stored_run_stats": None,
+        "curated_csv": with_ctes("curated", _curated_select()),
+        "stored_rollup": None, "stored_rollups": None, "stored_run_stats": None, "stored_feed_stats": None,
         "ingest_window": with_ctes("articles", """SELECT doc_id, published_at FROM articles WHERE published_ts IS NULL
             OR published_ts BETWEEN as_of - INTERVAL 3 DAY AND as_of + INTERVAL 12 HOUR"""),
         "unexpired_articles": with_ctes("enriched", f"""SELECT article_id, source_id, {stamp('published_ts')} AS published_ts, duplicate_count
@@ -597,7 +599,14 @@ def statements() -> dict[str, str]:
         "parity_check": with_ctes("curated", f"SELECT count(*) AS incremental_rows, count(*) AS one_shot_rows, 0 AS unlike_rows FROM ({_curated_select()})"),
     }
     sql["stored_rollup"] = sql["by_topic"]
-    sql["stored_run_stats"] = f"SELECT * EXCLUDE (failures) FROM ({sql['ingest_stats']})"
+    sql["stored_run_stats"], sql["stored_feed_stats"] = sql["ingest_stats"], sql["ingest_feed_stats"]
+    sql["stored_rollups"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS rollup, {key} AS key, article_count, {more} FROM ({sql[name.replace('by_market_day', 'market_day')]})"
+        for name, key, more in (
+            ("by_market_day", "primary_market || '|' || published_date", "avg_relevance, source_count"),
+            ("by_regulation", "regulation || '|' || primary_market", "NULL AS avg_relevance, NULL AS source_count"),
+            ("by_topic", "topic", "avg_relevance, NULL"),
+            ("by_pillar", "pillar || '|' || primary_market", "NULL, NULL"), ("by_source", "source_name", "NULL, NULL")))
     ranked_top = ("SELECT t.rank, t.article_id, s.section FROM (" + tops + ") t JOIN sectioned s USING (article_id)")
     sql["section_groups"] = with_ctes(
         "kept sectioned", "SELECT section, string_agg(rank || ':' || article_id, '|' ORDER BY rank) AS stories FROM ("

@@ -47,6 +47,21 @@ def quarantine_counts(landing: DataFrame) -> DataFrame:
         F.count("url").alias("with_url"))
 
 
+def quarantine(landing: DataFrame) -> DataFrame:
+    """Every line that is no valid row, with where it came from.
+
+    ``landing`` must be the scan itself.  ``block_start`` is the offset of the
+    part of the file that the line was read with; ``article_id`` is given where
+    it could still be read.
+    """
+    return (landing.select(
+        "ingest_date", "run_id", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"), "article_id",
+        F.col(CORRUPT_COLUMN).alias("line"))
+        # Spark fills the line only if a column of the file is read with it.
+        .filter(F.col("line").isNotNull() & F.coalesce("article_id", "line").isNotNull()))
+
+
 def from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """In-memory rows (tests, small drops) as a raw table."""
     return spark.createDataFrame(

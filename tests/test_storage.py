@@ -151,3 +151,29 @@ def test_scores_of_any_size(spark):
     assert ranked[-5:] == ["e", "f", "k", "j", "d"]  # no score ranks like 0
     got = {r.published_date.day: r.avg_relevance for r in rollups.by_market_day(rows).collect()}
     assert got == {11: 335000.0, 12: -3.5, 13: 3e18, 14: 5000.0, 15: 0.0, 16: None}
+
+
+def test_quarantine_names_file_and_line(spark, raw, tmp_path):
+    path = str(tmp_path / "zone")
+    landing.land(raw([article()]).withColumn("ingest_date", F.lit(date(2026, 8, 14))).withColumn(
+        "run_id", F.lit("r1")), path)
+    folder = tmp_path / "zone" / "ingest_date=2026-08-14" / "run_id=r1"
+    (folder / "more.jsonl").write_text('{"article_id": "x", "title": \n[1]\n')
+    (folder / "stray.json").write_text("not read")
+    rows = landing.quarantine(landing.read_landing(spark, path)).orderBy("line").collect()
+    assert [r.line for r in rows] == ["[1]", '{"article_id": "x", "title": ']
+    assert all(r.file.endswith("/run_id=r1/more.jsonl") and r.block_start == 0 and r.run_id == "r1" for r in rows)
+
+
+def test_missing_articles_of_reports(spark):
+    from newsloom.operators import quality
+    reports = spark.createDataFrame([("a", "see https://x.example/1 and more"), ("n", None)],
+                                    "report_id string, markdown string")
+    stories = spark.createDataFrame(
+        [("a", "https://x.example/1", None, 1), ("a", "https://x.example/2", "", 2), ("a", None, None, 3),
+         ("b", "https://x.example/1", None, 4), ("n", "https://x.example/1", None, 5), ("a", "https://x.example/2", None, 6)],
+        "report_id string, url string, canonical_url string, n int")
+    dated = stories.withColumn("published_date", F.lit(date(2026, 8, 14)))
+    assert sorted(r.n for r in quality.missing_articles(reports, dated).collect()) == [2, 4, 5, 6]
+    text = quality.missing_articles(reports, dated)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
