@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Headlines with shorter keys say too little to count as the same story.
 MIN_TITLE_KEY = 15
@@ -22,42 +21,48 @@ def precedence() -> list[Column]:
     ]
 
 
+#: Parts that the sizes of short headline groups are repeated in, so that the
+#: rows of one (an empty headline, say) spread over as many tasks.
+SPREAD = 32
+
+
 def by_url(df: DataFrame) -> DataFrame:
     """Best row per de-duplication key.
 
-    Filtering on ``row_number() = 1`` makes Spark keep one row per key in
-    every map task before the shuffle, so a key that holds a large share of
-    all rows sends at most one row per task.
+    One aggregate that combines on the map side: a key that holds a large share
+    of all rows sends one row per task.  The row travels as one value, so every
+    reading of the result, however few columns it takes, has the same shuffle,
+    and Spark runs it once.
     """
-    window = Window.partitionBy("dedupe_key").orderBy(*precedence())
-    return (df.withColumn("_rn", F.row_number().over(window))
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "dedupe_key"])
+    best = df.groupBy("dedupe_key").agg(F.min_by(row, F.struct(*precedence())).alias("_best"))
+    return best.select(*[F.col("dedupe_key") if c == "dedupe_key" else F.col(f"_best.`{c}`")
+                         for c in df.columns])
 
 
 def by_title_and_day(df: DataFrame, min_key: int = MIN_TITLE_KEY) -> DataFrame:
     """Best row per headline and day, with ``duplicate_count``.
 
-    Expects one row per ``dedupe_key``.  Rows with a short title key all
-    survive: their own de-duplication key joins the grouping key, so however
-    many rows share a short (or empty) headline they spread over all tasks.
-    Winner and group size come out of one aggregate that combines on the map
-    side, so a headline copied everywhere is no hot spot either.
+    Expects one row per ``dedupe_key``, as ``by_url`` gives it.  Only narrow rows
+    (keys and precedence) are ranked: one aggregate, combined on the map side,
+    gives the size of every group and the winner of long headlines, so a headline
+    copied everywhere is no hot spot.  Rows with a short headline all survive and
+    take the size of their group, which is repeated in ``SPREAD`` parts.  The
+    survivors are joined back once, by the key that whole rows already lie by.
     """
+    order = F.struct(*precedence())
+    narrow = df.select("dedupe_key", "title_key", "published_date", order.alias("_order"))
+    groups = narrow.groupBy("title_key", "published_date").agg(
+        F.count(F.lit(1)).alias("duplicate_count"),
+        F.min_by("dedupe_key", "_order").alias("_winner"))
     short = F.length("title_key") < min_key
-    row = [F.col(c) for c in df.columns if c not in ("title_key", "published_date")]
-    grouped = df.groupBy(
-        "title_key", "published_date", F.when(short, F.col("dedupe_key")).alias("_own"),
-    ).agg(F.min_by(F.struct(*row, short.alias("_short")), F.struct(*precedence())).alias("_best"),
-          F.count(F.lit(1)).alias("_n"))
-    # Sizes of the short groups are counted from the same aggregate.  The test
-    # reads the winner, not the grouping key, so it cannot move below the
-    # aggregate: both uses then have equal shuffles, which Spark runs once.
-    sizes = (grouped.filter("_best._short")
-             .groupBy(F.col("title_key").alias("_k"), F.col("published_date").alias("_d"))
-             .agg(F.count(F.lit(1)).alias("_short_n"))
-             .filter(F.col("_short_n") > 1))
-    return (grouped
-            .join(sizes, F.col("_own").isNotNull() & (F.col("title_key") == F.col("_k"))
-                  & (F.col("published_date") == F.col("_d")), "left")
-            .select("title_key", "published_date", "_best.*",
-                    F.coalesce("_short_n", "_n").alias("duplicate_count")).drop("_short"))
+    parts = F.pmod(F.xxhash64("dedupe_key"), F.lit(SPREAD)).cast("int")
+    sizes = groups.where(short).where("duplicate_count > 1").select(
+        "title_key", "published_date", "duplicate_count",
+        F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_part"))
+    everyone = (narrow.where(short).select("dedupe_key", "title_key", "published_date",
+                                           parts.alias("_part"))
+                .join(sizes, ["title_key", "published_date", "_part"], "left")
+                .select("dedupe_key", F.coalesce("duplicate_count", F.lit(1)).alias("duplicate_count")))
+    winners = groups.where(~short).select(F.col("_winner").alias("dedupe_key"), "duplicate_count")
+    return df.join(winners.unionByName(everyone), "dedupe_key").select(*df.columns, "duplicate_count")
