@@ -125,13 +125,17 @@ def formatted(conversations: DataFrame, template: Template = plain_template,
 
 def read_back(output: DataFrame) -> DataFrame:
     """Digests of what the formatted text itself says: turns read from each
-    span, learned text read under the mask."""
+    span, learned text read under the mask.  A conversation without spans, as its
+    template rewrites history, has only a length."""
     kind = output.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, spans, mask in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if spans is None:
+                    rows.append((None, None, None, None, len(text)))
+                    continue
                 turns = [parse_span(text[a:b])[0] for a, b in spans]
                 learned = "".join(unescape(text[a:b]) for a, b in mask)
                 rows.append((len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)),

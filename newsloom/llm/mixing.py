@@ -5,9 +5,10 @@ a repetition rate; every document is then taken ``floor(rate)`` times, and once
 more with the probability of the rate's fraction, decided by a hash of its id.
 
 Defined cases: a null text has size 0; a null source is a source of its own and
-comes last; a source of size 0 has target 0 and takes nothing; documents with
-the same id (null included) draw the same number, so repeated rows are repeated
-alike; an empty table gives an empty result.  Other columns are not looked at.
+comes last; a source of size 0 has target 0 and takes nothing; documents that
+share an id (null included) draw by id and place of the row in the table, each
+for itself, so reruns over the same stored table and settings agree for them
+too; an empty table gives an empty result.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -75,6 +76,13 @@ def source_targets(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.least(top.cast("double"), F.col("weight") * F.lit(level)).alias("target"))
 
 
+def repeated_ids(docs: DataFrame, id_column: str) -> DataFrame:
+    """Ids (``again``) that more than one row has: one narrow aggregate."""
+    again = (docs.groupBy(F.col(id_column).alias("again")).agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("again"))
+    return cut_lineage(again, "repeated-ids")
+
+
 def with_copies(docs: DataFrame, mix: Mix = Mix(), id_column: str = "doc_id",
                 text_column: str = "text", source_column: str = "source") -> DataFrame:
     """Columns ``row`` (the document, all columns), ``size``, ``source_size``,
@@ -87,9 +95,18 @@ def with_copies(docs: DataFrame, mix: Mix = Mix(), id_column: str = "doc_id",
 
     targets = source_targets(sized(), mix)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    more = draw(F.col("row")[id_column], mix.seed) < F.col("rate") - F.floor("rate")
-    return (sized(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-            .join(targets, ["no_source", "source"])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    again = repeated_ids(docs, id_column)
+    own = F.col("row")[id_column]
+    if again.isEmpty():
+        rows, key = sized(row), own.cast("string")
+    else:
+        rows = sized(row, F.monotonically_increasing_id().alias("place"))
+        rows = rows.join(again.withColumn("shared", F.lit(True)), own.eqNullSafe(F.col("again")), "left")
+        key = F.when(F.col("shared"), F.concat_ws(":", F.coalesce(own.cast("string"), F.lit("null")),
+                                                  "place")).otherwise(own.cast("string"))
+    more = draw(key, mix.seed) < F.col("rate") - F.floor("rate")
+    return (rows.join(targets, ["no_source", "source"])
             .withColumn("rate", rate)
             .select("row", "size", "source_size", "target",
                     (F.floor("rate") + more.cast("int")).cast("int").alias("copies")))

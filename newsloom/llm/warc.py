@@ -5,13 +5,17 @@ each, as in a ``.warc.gz`` file, and is bounded in bytes.  Spark has no binary
 file sink, so they are stored as a Parquet table; files made elsewhere are read
 with ``archive_files``.  The reader takes plain and gzipped records; after a
 failed check it searches for the next member or version line that parses,
-goes on there, and logs the bytes in between as a quarantined gap.
+goes on there, and logs the bytes in between as a quarantined gap.  A member of
+several records is searched in the same way inside its unpacked bytes, as far
+as they can be had, and its gaps carry their place in there.
 
 Defined cases: a null payload is empty; rows with the same id and payload are
 all written, alike; a null id never is the largest (if a payload has no other
 id, its rows are responses without an id); equal payloads shorter than the
 least size are all responses; an empty table gives no archives; a damaged
-archive gives the records that are whole and one gap per damaged stretch.
+archive gives the records that are whole and one gap per damaged stretch; in a
+member that does not unpack, only records with a block digest that fits count,
+and a lone record is given up, as it must hold the damage.
 Other columns are not looked at.
 """
 
@@ -35,6 +39,8 @@ ARCHIVE_BYTES = 4 << 20
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_MEMBER, _LINE = re.compile(rb"\x1f\x8b\x08"), re.compile(rb"WARC/1\.[01]\r\n")
+_BROKEN = "member does not unpack"
 _WRITTEN = datetime(2026, 1, 1, tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
@@ -134,6 +140,8 @@ class Found:
     headers: dict[str, str]
     block: bytes
     why: str = ""
+    #: Place in the unpacked bytes of a gzip member.
+    inner: tuple[int | None, int | None] = (None, None)
 
 
 class Damaged(ValueError):
@@ -181,20 +189,77 @@ def http_payload(block: bytes) -> tuple[dict[str, str], bytes]:
             for k, _, v in pairs}, body
 
 
-def _member(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """Records of the gzip member at ``at``, and where it ends."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """Unpacked bytes of the gzip member at ``at``, as far as they can be had,
+    where it ends, and what is wrong with it."""
+    packed = memoryview(data)[at:]
     unpacker = zlib.decompressobj(31)
     try:
-        plain = unpacker.decompress(memoryview(data)[at:])
-    except zlib.error as bad:
-        raise Damaged("member does not unpack") from bad
+        plain = unpacker.decompress(packed)
+    except zlib.error:
+        plain, taken = _unpacked_part(packed)
+        return plain, at + taken, _BROKEN
     if not unpacker.eof:
-        raise Damaged("member is cut off")
-    records, place = [], 0
-    while place < len(plain):
-        headers, block, place = _parse(plain, place)
-        records.append((headers, block))
-    return records, len(data) - len(unpacker.unused_data)
+        return plain, len(data), "member is cut off"
+    return plain, len(data) - len(unpacker.unused_data), ""
+
+
+def _unpacked_part(packed: memoryview, piece: int = 1024) -> tuple[bytes, int]:
+    """What a damaged member gives up to its fault, and how many bytes that took."""
+    unpacker, out, taken = zlib.decompressobj(31), [], 0
+    try:
+        while True:
+            out.append(unpacker.decompress(packed[taken:taken + piece]))
+            taken += piece
+    except zlib.error:
+        pass
+    unpacker = zlib.decompressobj(31)
+    out = [unpacker.decompress(packed[:taken])]
+    try:
+        while True:
+            out.append(unpacker.decompress(packed[taken:taken + 1]))
+            taken += 1
+    except zlib.error:
+        return b"".join(out), taken
+
+
+def _inside(plain: bytes, digest_needed: bool) -> Iterator[Found]:
+    """Records and gaps of a member's unpacked bytes, with their place in there."""
+    at, lost, why = 0, -1, ""
+    while at < len(plain):
+        try:
+            headers, block, end = _parse(plain, at)
+            if digest_needed and not headers.get("warc-block-digest", "").startswith("sha1:"):
+                raise Damaged("no digest to check it by")
+        except Damaged as bad:
+            if lost < 0:
+                lost, why = at, str(bad)
+            found = _LINE.search(plain, at + 1)
+            at = found.start() if found else len(plain)
+            continue
+        if lost >= 0:
+            yield Found(lost, at, {}, b"", why)
+            lost = -1
+        yield Found(at, end, headers, block)
+        at = end
+    if lost >= 0:
+        yield Found(lost, len(plain), {}, b"", why)
+
+
+def _member(data: bytes, at: int) -> tuple[list[Found], int]:
+    """Records and gaps of the gzip member at ``at``, and where to go on."""
+    plain, end, wrong = _unpack(data, at)
+    found = list(_inside(plain, wrong == _BROKEN))
+    whole = sum(not x.why for x in found)
+    if found and not whole or wrong and (not whole or wrong == _BROKEN and len(found) == 1):
+        raise Damaged(wrong or found[0].why)
+    if wrong:
+        if not found[-1].why:
+            found.append(Found(len(plain), len(plain), {}, b"", wrong))
+        # Version lines in what was unpacked are known already.
+        later = _MEMBER.search(data, at + 1, end) or _START.search(data, end)
+        end = later.start() if later else len(data)
+    return [Found(at, end, x.headers, x.block, x.why, (x.start, x.end)) for x in found], end
 
 
 def salvage(data: bytes) -> Iterator[Found]:
@@ -203,21 +268,20 @@ def salvage(data: bytes) -> Iterator[Found]:
     while at < len(data):
         try:
             if data.startswith(b"\x1f\x8b", at):
-                records, end = _member(data, at)
+                found, end = _member(data, at)
             else:
                 headers, block, end = _parse(data, at)
-                records = [(headers, block)]
+                found = [Found(at, end, headers, block)]
         except Damaged as bad:
             if lost < 0:
                 lost, why = at, str(bad)
-            found = _START.search(data, at + 1)
-            at = found.start() if found else len(data)
+            start = _START.search(data, at + 1)
+            at = start.start() if start else len(data)
             continue
         if lost >= 0:
             yield Found(lost, at, {}, b"", why)
             lost = -1
-        for headers, block in records:
-            yield Found(at, end, headers, block)
+        yield from found
         at = end
     if lost >= 0:
         yield Found(lost, len(data), {}, b"", why)
@@ -226,22 +290,22 @@ def salvage(data: bytes) -> Iterator[Found]:
 def read_archives(stored: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records and gaps of (archive, body) rows.
 
-    Returns archive, start, stop, kind (record or gap), why (of a gap),
-    record_type, record_id, target_uri, refers_to, payload_bytes,
+    Returns archive, start, stop, inner_start, inner_stop (places in the unpacked
+    bytes of a gzip member, else null), kind (record or gap), why (of a gap), record_type, record_id, target_uri, refers_to, payload_bytes,
     payload_digest and, unless left out, payload.  Size and digest are those of
     the full payload: counted for responses, as noted in the record for
     revisits.
     """
-    schema = ("archive string, start long, stop long, kind string, why string, "
+    schema = ("archive string, start long, stop long, inner_start long, inner_stop long, kind string, why string, "
               "record_type string, record_id string, target_uri string, refers_to string, "
               "payload_bytes long, payload_digest string" + ", payload binary" * with_payload)
     names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.string(),
+    kinds = [pa.string(), *[pa.int64()] * 4, *[pa.string()] * 6, pa.int64(), pa.string(),
              pa.binary()]
 
     def row(archive: str, x: Found) -> tuple:
         if x.why:
-            return (archive, x.start, x.end, "gap", x.why, *[None] * 7)
+            return (archive, x.start, x.end, *x.inner, "gap", x.why, *[None] * 7)
         http, body = http_payload(x.block)
         kind = x.headers.get("warc-type")
         if kind == "revisit":
@@ -249,7 +313,7 @@ def read_archives(stored: DataFrame, with_payload: bool = True) -> DataFrame:
             digest = x.headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
         else:
             size, digest = len(body), sha1_base32(body)
-        return (archive, x.start, x.end, "record", None, kind, x.headers.get("warc-record-id"),
+        return (archive, x.start, x.end, *x.inner, "record", None, kind, x.headers.get("warc-record-id"),
                 x.headers.get("warc-target-uri"), x.headers.get("warc-refers-to"), size, digest,
                 body)
 

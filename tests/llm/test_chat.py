@@ -50,8 +50,10 @@ def test_template_that_rewrites_history_is_found(spark):
     assert at == 3 and spans is None and text == only_last(turns)
     rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)],
                                  "conv_id long, turn long, role string, text string")
-    row = chat.formatted(rows, only_last, read_span=None).first()
+    out = chat.formatted(rows, only_last, read_span=None)
+    row = out.first()
     assert (row.rewrites_at, row.spans, row.mask) == (3, None, None)
+    assert tuple(chat.read_back(out).first()) == (1, None, None, None, None, len(text))
 
 
 def test_masks_of_another_template(spark):

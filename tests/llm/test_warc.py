@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import pandas as pd
 import pytest
@@ -77,6 +78,52 @@ def test_salvage_recovers_every_whole_member(seed):
     assert sum(x.end - x.start for x in found) == len(data)  # every byte is accounted for
 
 
+def _one_member(n: int, level: int = 6) -> tuple[list[bytes], bytes]:
+    plain = [zlib.decompress(m, 31) for m in _archive(n)[0]]
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return plain, packer.compress(b"".join(plain)) + packer.flush()
+
+
+def _ids(found) -> list[int]:
+    return [int(x.headers["warc-record-id"][10:-1]) for x in found if not x.why]
+
+
+def test_a_damaged_record_inside_a_member_is_one_inner_gap():
+    plain, _ = _one_member(5)
+    hurt = bytearray(b"".join(plain))
+    hurt[sum(map(len, plain[:3])) - 50] ^= 0xFF
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    member = packer.compress(bytes(hurt)) + packer.flush()
+    found = list(warc.salvage(member + _archive(1)[1]))
+    assert _ids(found) == [0, 1, 3, 4, 0]
+    gap, = [x for x in found if x.why]
+    assert gap.why == "block digest differs"
+    assert gap.inner == (sum(map(len, plain[:2])), sum(map(len, plain[:3])))
+
+
+def test_a_member_cut_short_keeps_its_whole_records():
+    plain, member = _one_member(5)
+    found = list(warc.salvage(member[:-20]))
+    assert _ids(found) in ([0, 1, 2, 3], [0, 1, 2, 3, 4]) and found[-1].why
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("part", [0.3, 0.6, 0.95])
+def test_a_broken_stream_keeps_what_can_be_checked(level, part):
+    draw = random.Random(5)  # texts that hardly shrink, so that the fault lies behind a record or two
+    texts = [draw.randbytes(4000).hex().encode() for _ in range(6)]
+    plain = [zlib.decompress(warc._page_record(i, "u", d, warc.sha1_base32(d), None), 31) for i, d in enumerate(texts)]
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    member = packer.compress(b"".join(plain)) + packer.flush()
+    at = int(len(member) * part)
+    hurt = member[:at] + bytes([member[at] ^ 0xFF]) + member[at + 1:]
+    found = list(warc.salvage(hurt + _archive(2)[1]))
+    ids = _ids(found)
+    assert ids[-2:] == [0, 1] and len(ids) == len(set(ids[:-2])) + 2
+    assert len(ids) >= 3 and any(x.why for x in found)
+    assert all(any(x.block in p for p in plain) for x in found[:-2] if not x.why)
+
+
 def test_plain_records_digests_and_truncation():
     block = b"HTTP/1.1 200 OK\r\n\r\nbody"
     good = (b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block)) + block + b"\r\n\r\n"
