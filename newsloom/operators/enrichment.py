@@ -81,10 +81,13 @@ def enrich(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON,
     features = Features(*[F.col(c) for c in (
         "_core_hits", "_core_in_title", "esg_pillars", "regulations", "topics",
         "source_type", "title", "summary")])
-    return tagged.withColumns({
+    score = {"relevance_score": scorer(features)}
+    # A model is called once a row, not again for each filter on its score.
+    scored = (materialize(tagged, score) if getattr(scorer, "runs_python", False)
+              else tagged.withColumns(score))
+    return scored.withColumns({
         "is_eu": F.array_contains("markets", "EU"),
         "is_us": F.array_contains("markets", "US"),
-        "relevance_score": scorer(features),
         "has_publish_date": F.coalesce(F.col("published_at"), F.lit("")) != "",
         "dedupe_key": F.coalesce(F.nullif(F.col("canonical_url"), F.lit("")),
                                  F.col("title_key")),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, feeds, text, urls
 from ..operators import (briefing, dedupe, filters, health, neardup, quality,
-                         ranking, rollups, sections)
+                         ranking, rollups, scoring, sections)
 from ..operators.enrichment import Features, enrich, require_fields, with_timestamps
 from ..schemas import CURATED_COLUMNS, LIST_COLUMNS
 from ..session import cut_lineage, new_work_path, spread
@@ -224,6 +224,31 @@ def curated_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(curated(spark, sf_dir))
 
 
+#: Weights of a linear model whose scores reach into the millions.
+MODEL_WEIGHTS = {"pillars": 150000.25, "regulations": 40000.5, "topics": 1250.75,
+                 "regulator": 300000.0, "no_summary": -75.25}
+
+
+def model_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated articles with the scores of a model in place of the points."""
+    scorer = scoring.model_scorer("catalog-linear", scoring.linear(MODEL_WEIGHTS))
+    return curate(raw_articles(spark, sf_dir), AS_OF, DAYS, scorer=scorer)
+
+
+@query
+def model_market_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of a model's scores per market and day."""
+    return flat(rollups.by_market_day(model_curated(spark, sf_dir)))
+
+
+@query
+def model_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best stories by a model's scores, retellings left out."""
+    stored = cut_lineage(model_curated(spark, sf_dir), "model-curated")
+    top = ranking.number_stories(ranking.select_top(stored))
+    return top.select("rank", "article_id", "title", "relevance_score", _day("published_date"))
+
+
 # --- rollups ----------------------------------------------------------------
 
 @query

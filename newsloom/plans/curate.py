@@ -15,6 +15,7 @@ from ..operators.enrichment import (Scorer, enrich, points_scorer,
 from ..operators.filters import (GATE_THRESHOLD, in_window, is_relevant,
                                  lit_timestamp, not_expired, utc)
 from ..schemas import CURATED_COLUMNS
+from ..session import cut_lineage
 
 
 def prepare(raw: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON,
@@ -57,8 +58,12 @@ def curate(raw: DataFrame, as_of: datetime | str, days: int = 7,
            undated_max_age_days: int | None = None) -> DataFrame:
     """Curated articles of the trailing window.
 
-    The window test comes first, so rows outside it are never tagged.
+    The window test comes first, so rows outside it are never tagged.  What a
+    model has scored is stored before duplicates are removed, so that it is called
+    once a row, however often the rows are read and whatever is lost later.
     """
     rows = recent(with_timestamps(require_fields(raw)), as_of, days, undated_max_age_days)
     rows = enrich(rows, lexicon, scorer).filter(is_relevant(min_relevance))
+    if getattr(scorer, "runs_python", False):
+        rows = cut_lineage(rows, "scored")
     return finish(rows, as_of, days, undated_max_age_days)

@@ -378,6 +378,13 @@ def with_ctes(last: str, select: str, **other: str) -> str:
     return f"{kind} " + ",\n".join(parts) + "\n" + _fill(select)
 
 
+#: Points as hundredths of the linear model of the catalog.
+_MODEL = CTES["enriched"].replace("AS points,", """AS plain_points,
+        15000025 * len(esg_pillars) + 4000050 * len(regulations) + 125075 * len(topics)
+          + CASE WHEN source_type = 'regulator' THEN 30000000 ELSE 0 END
+          - CASE WHEN coalesce(summary, '') = '' THEN 7525 ELSE 0 END AS points,""")
+
+
 def _curated_select(columns=CURATED_COLUMNS) -> str:
     out = []
     for c in columns:
@@ -496,6 +503,11 @@ def statements() -> dict[str, str]:
         "curated_articles": with_ctes("curated", _curated_select()),
         "market_day": with_ctes("curated", f"""SELECT primary_market, {day('published_date')} AS published_date,
             count(*) AS article_count, {_AVG}, count(DISTINCT source_id) AS source_count FROM curated GROUP BY 1, curated.published_date"""),
+        "model_market_day": with_ctes("curated", f"""SELECT primary_market, {day('published_date')} AS published_date,
+            count(*) AS article_count, {_AVG}, count(DISTINCT source_id) AS source_count FROM curated GROUP BY 1, curated.published_date""",
+                                      enriched=_MODEL),
+        "model_top20": with_ctes("kept", f"SELECT rank, article_id, title, relevance_score, {day('published_date')} AS published_date FROM ({tops})",
+                                 enriched=_MODEL),
         "by_regulation": with_ctes("curated", """SELECT regulation, primary_market, count(*) AS article_count FROM (
             SELECT unnest(regulations) AS regulation, primary_market FROM curated) GROUP BY 1, 2"""),
         "by_topic": with_ctes("curated", f"""SELECT topic, count(*) AS article_count, {_AVG} FROM (
