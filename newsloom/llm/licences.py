@@ -5,6 +5,11 @@ digits only) and mapped to the identifier of a known licence sentence.  The
 sequence of identifiers, with unknown sentences marking gaps, is then matched
 against ordered rules: a longer rule comes before the rules it contains.
 
+Sentences may be wrapped over lines, stand behind comment marks or be items of a
+numbered list: they end at blank lines, list items and punctuation.  One-line
+notices, between lines that end without punctuation, are known by a second cut
+at line ends; sentences that longer rules are made of are not looked up there.
+
 Defined cases: a null or empty text has no sentences and no licences; a
 sentence repeated counts each time; rows are independent, so ties, repeated
 rows and other columns do not matter; an empty table gives an empty result.
@@ -39,7 +44,17 @@ SENTENCES: dict[str, str] = {
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "agpl3-or-later": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-free": "This library is free software;",
+    "lgpl21-or-later": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-or-later": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl2-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl2-only-2": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc0-given": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "cc0-notice": "Licensed under CC0 1.0.",
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-notice": "Licensed under CC BY-SA 4.0.",
@@ -62,6 +77,15 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("gpl3-line", "GPL-3.0-only", "gpl3-notice"),
     ("gpl2-header", "GPL-2.0-or-later", "gpl-free-2 gpl2-or-later gpl-hope"),
     ("gpl2-grant", "GPL-2.0-or-later", "gpl-free-2 gpl2-or-later"),
+    ("gpl2-only-grant", "GPL-2.0-only", "gpl-free-2 gpl2-only"),
+    ("gpl2-only-grant-2", "GPL-2.0-only", "gpl-free-2 gpl2-only-2"),
+    ("agpl3-grant", "AGPL-3.0-or-later", "gpl-free agpl3-or-later"),
+    ("lgpl21-grant", "LGPL-2.1-or-later", "lgpl-free lgpl21-or-later"),
+    ("lgpl3-grant", "LGPL-3.0-or-later", "gpl-free lgpl3-or-later"),
+    ("unlicense-text", "Unlicense", "unlicense"),
+    ("cc0-text", "CC0-1.0", "cc0-given"),
+    ("cc0-line", "CC0-1.0", "cc0-notice"),
+    ("bsd3-text", "BSD-3-Clause", "bsd-grant bsd-source bsd-binary bsd-endorse"),
     ("bsd-text", "BSD-2-Clause", "bsd-grant bsd-source bsd-binary"),
     ("cc-by-nc-line", "CC-BY-NC-4.0", "cc-by-nc-notice"),
     ("cc-by-line", "CC-BY-4.0", "cc-by-notice"),
@@ -81,8 +105,16 @@ class LicenceRules:
 
 DEFAULT = LicenceRules(SENTENCES, RULES)
 
-#: A sentence ends at a line end, a colon, a semicolon, or at . ! ? before white space.
-BREAK = r"[.!?]+(?:[ \t\r\n\f]|$)|[\n\r:;]"
+#: A sentence ends at . ! ? before white space, at a colon, a semicolon or a blank line.
+BREAK = r"[.!?]+(?:[ \t\n\r\f]|$)|\n\n+|[:;]"
+#: In the cut for notices it ends at every line end.
+LINE_BREAK = r"[.!?]+(?:[ \t\r\n\f]|$)|[\n\r:;]"
+#: What lines are freed of, in this order: carriage returns, comment marks with the
+#: white space around them, and list numbers, which begin a sentence.
+UNWRAP = ((r"\r\n?", "\n"), (r"\n[ \t]*(?:[*#/%]+|--+)?[ \t]*", "\n"),
+          (r"\n(?:[0-9]{1,2}[.)]|\([0-9a-z]\)|[0-9a-z]\)|[-•])[ \t]+", "\n\n"))
+#: The bare number of an item inside a line is no sentence.
+NUMBER = "^[0-9]{0,2}$"
 
 
 def normal(sentence: str) -> str:
@@ -108,20 +140,37 @@ def rule_sequences(rules: LicenceRules) -> list[tuple[str, str, list[int]]]:
             for name, licence, keys in rules.rules]
 
 
+def notice_ids(rules: LicenceRules) -> dict[str, int]:
+    """The sentences that are a whole rule and part of no longer one."""
+    ids, longer, alone = sentence_ids(rules), set(), set()
+    for _, _, sequence in rule_sequences(rules):
+        (alone if len(sequence) == 1 else longer).update(sequence)
+    return {words: i for words, i in ids.items() if i in alone - longer}
+
+
+def _sequence(text: Column, breaks: str, ids: dict[str, int]) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    cleaned = F.transform(F.split(text, breaks),
+                          lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    found = F.transform(F.filter(cleaned, lambda s: ~F.rlike(s, F.lit(NUMBER))),
+                        lambda s: F.coalesce(F.element_at(known, s), F.lit(0)))
+    line = F.concat(F.lit(","), F.array_join(found, ",,"), F.lit(","))
+    return F.regexp_replace(line, "(?:,0,)+", ",0,")
+
+
 def known_sequence(text: Column, rules: LicenceRules = DEFAULT) -> Column:
-    """Identifiers of the text's sentences in order, as text: `,3,4,0,7,`, where
-    0 stands for a run of sentences that are not known."""
+    """Identifiers of the text's sentences in order, as text: `,3,,4,,0,,7,`, where
+    0 stands for a run of sentences that are not known.  Behind a bar, those of the
+    notices in its lines."""
     ids = sentence_ids(rules)
-    known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    parts = F.split(text, BREAK)
+    joined = F.concat(F.lit("\n"), text)
+    for pattern, by in UNWRAP:
+        joined = F.regexp_replace(joined, pattern, by)
     # A known sentence holds one of these words; others need no look-up.
     tell = "|".join(sorted({min(w.split(), key=lambda x: (-len(x), x)) for w in ids}))
-    cleaned = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    found = F.transform(F.filter(cleaned, lambda s: s != ""),
-                        lambda s: F.coalesce(F.element_at(known, s), F.lit(0)))
-    line = F.concat(F.lit(","), F.array_join(found, ","), F.lit(","))
-    return F.when(F.rlike(F.lower(text), F.lit(tell)),
-                  F.regexp_replace(line, "(?:,0)+(?=,)", ",0")).otherwise(F.lit(",0,"))
+    return F.when(F.rlike(F.lower(text), F.lit(tell)), F.concat(
+        _sequence(joined, BREAK, ids), F.lit("|"), _sequence(text, LINE_BREAK, notice_ids(rules)),
+    )).otherwise(F.lit(",0,|,0,"))
 
 
 def scanned(docs: DataFrame, rules: LicenceRules = DEFAULT, id_column: str = "doc_id",
@@ -135,7 +184,7 @@ def scanned(docs: DataFrame, rules: LicenceRules = DEFAULT, id_column: str = "do
     rest, hits = F.col("sequence"), []
     stages = named
     for k, (name, licence, ids) in enumerate(rule_sequences(rules)):
-        pattern = "," + ",".join(map(str, ids)) + ","
+        pattern = "".join(f",{i}," for i in ids)
         hits.append((f"_hit{k}", name, licence))
         stages = stages.withColumn(f"_hit{k}", F.contains(rest if k == 0 else F.col("_rest"),
                                                           F.lit(pattern)))
@@ -147,8 +196,10 @@ def scanned(docs: DataFrame, rules: LicenceRules = DEFAULT, id_column: str = "do
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Licences and rules as text, and how many sentences are known."""
-    known = F.regexp_count("sequence", F.lit("[1-9][0-9]*"))
+    """Licences and rules as text, and how many sentences are known (by the cut
+    that knows more)."""
+    known = F.greatest(*[F.regexp_count(F.split("sequence", "[|]")[i], F.lit("[1-9][0-9]*"))
+                         for i in (0, 1)])
     return scanned(docs).select(
         "doc_id", F.array_join("licences", "|").alias("licences"),
         F.array_join("rules", "|").alias("rules"), known.cast("long").alias("known_sentences"))
@@ -159,29 +210,38 @@ def sql(rules: LicenceRules = DEFAULT) -> str:
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    known = ", ".join(f"({quoted(w)}, {i})" for w, i in sentence_ids(rules).items())
+    def cut(name: str, text: str, breaks: str, ids: dict[str, int]) -> str:
+        known = ", ".join(f"({quoted(w)}, {i})" for w, i in ids.items())
+        return f"""
+k{name}(words, id) AS (VALUES {known}),
+s{name} AS (SELECT rid, string_split_regex({text}, '{breaks}') AS parts FROM d),
+p{name} AS (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM s{name}),
+c{name} AS (SELECT rid, place, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS words FROM p{name}),
+i{name} AS (SELECT rid, place, coalesce(id, 0) AS id FROM c{name} LEFT JOIN k{name} USING (words)
+            WHERE NOT regexp_matches(words, '{NUMBER}')),
+r{name}s AS (SELECT *, lag(id) OVER (PARTITION BY rid ORDER BY place) AS prior FROM i{name}),
+q{name} AS (SELECT rid, string_agg(',' || id || ',', '' ORDER BY place) AS line{name},
+             count(*) FILTER (id > 0) AS n{name}
+      FROM r{name}s WHERE NOT (id = 0 AND prior IS NOT DISTINCT FROM 0) GROUP BY rid),"""
+
+    joined = "chr(10) || text"
+    for pattern, by in UNWRAP:
+        joined = f"regexp_replace({joined}, {quoted(pattern)}, repeat(chr(10), {len(by)}), 'g')"
     steps, names, found = [], [], {}
     for k, (name, licence, ids) in enumerate(rule_sequences(rules)):
-        pattern = quoted("," + ",".join(map(str, ids)) + ",")
+        pattern = quoted("".join(f",{i}," for i in ids))
         steps.append(f"contains(r{k}, {pattern}) AS h{k}, replace(r{k}, {pattern}, ',0,') AS r{k + 1}")
         names.append(f"CASE WHEN h{k} THEN {quoted(name)} END")
         found.setdefault(licence, []).append((k, f"h{k}"))
     order = [f"CASE WHEN {' OR '.join(h for _, h in hits)} THEN {quoted(x)} END"
              for x, hits in sorted(found.items(), key=lambda item: item[1][0])]
     return f"""
-WITH known(words, id) AS (VALUES {known}),
-d AS (SELECT row_number() OVER () AS rid, doc_id,
-             string_split_regex(coalesce(text, ''), '{BREAK}') AS parts FROM documents),
-p AS (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM d),
-c AS (SELECT rid, place, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS words FROM p),
-i AS (SELECT rid, place, coalesce(id, 0) AS id FROM c LEFT JOIN known USING (words) WHERE words <> ''),
-runs AS (SELECT *, lag(id) OVER (PARTITION BY rid ORDER BY place) AS prior FROM i),
-q AS (SELECT rid, string_agg(CAST(id AS VARCHAR), ',' ORDER BY place) AS line,
-             count(*) FILTER (id > 0) AS known_sentences
-      FROM runs WHERE NOT (id = 0 AND prior IS NOT DISTINCT FROM 0) GROUP BY rid),
-h AS (SELECT doc_id, coalesce(known_sentences, 0) AS known_sentences,
-             ',' || coalesce(line, '0') || ',' AS r0, {", ".join(steps)}
-      FROM d LEFT JOIN q USING (rid))
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+{cut("a", joined, BREAK, sentence_ids(rules))}
+{cut("b", "text", LINE_BREAK, notice_ids(rules))}
+h AS (SELECT doc_id, greatest(coalesce(na, 0), coalesce(nb, 0)) AS known_sentences,
+             coalesce(linea, ',0,') || '|' || coalesce(lineb, ',0,') AS r0, {", ".join(steps)}
+      FROM d LEFT JOIN qa USING (rid) LEFT JOIN qb USING (rid))
 SELECT doc_id, concat_ws('|', {", ".join(order)}) AS licences,
        concat_ws('|', {", ".join(names)}) AS rules, known_sentences
 FROM h
