@@ -24,6 +24,7 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +38,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F  -⁯　]+"
 LITERAL_TERMS = 50_000
 #: Text in one of the ranges that documents are put in order by.
 RANGE_BYTES = 16 << 20
+#: Ranges at most: their starts are a few MB in the plan.
+MAX_RANGES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -129,35 +132,60 @@ def with_prints(texts: DataFrame, columns: dict[str, str], terms: DataFrame) ->
     return out.withColumns({new: hashed_subsets(F.col(new)) for new in columns.values()})
 
 
-def _ranges(rows: DataFrame, range_bytes: int) -> str:
-    """The least (id, text hash) of each range of rows, as JSON: a few numbers
-    for every ``range_bytes`` of text."""
+@dataclass(frozen=True)
+class Ranges:
+    """Where ranges of rows in the order of (id, hash) begin.  There are at most
+    ``MAX_RANGES``, whatever the number of documents.  Their starts lie in pages
+    of about the square root of their number, so a row is compared with two pages
+    and not with all of them."""
+
+    starts: list[dict]
+    kind: str
+
+    @property
+    def page(self) -> int:
+        return max(1, math.isqrt(len(self.starts)))
+
+    def place(self) -> tuple[Column, Column]:
+        """The number of the range of (id, hash), and whether the row is its start."""
+        pages = [self.starts[k:k + self.page] for k in range(0, len(self.starts), self.page)]
+        start = f"struct<id:{self.kind},hash:bigint>"
+        heads = F.from_json(F.lit(json.dumps([p[0] for p in pages])), f"array<{start}>")
+        rest = F.from_json(F.lit(json.dumps(pages)), f"array<array<{start}>>")
+        own = F.struct("id", "hash")
+        page = F.size(F.filter(heads, lambda b: b <= own))
+        inner = F.element_at(rest, page)
+        inside = F.size(F.filter(inner, lambda b: b <= own))
+        return (page - 1) * self.page + inside - 1, F.element_at(inner, inside) == own
+
+
+def _ranges(rows: DataFrame, range_bytes: int) -> Ranges:
+    """Ranges of about ``range_bytes`` of text, larger ones where that would make
+    more than ``MAX_RANGES``."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    keys = rows.select("id", "hash").repartitionByRange(max(1, -(-total // range_bytes)), "id", "hash")
+    wanted = min(MAX_RANGES, max(1, -(-total // range_bytes)))
+    keys = rows.select("id", "hash").repartitionByRange(wanted, "id", "hash")
     starts = (keys.groupBy(F.spark_partition_id().alias("range"))
               .agg(F.min(F.struct("id", "hash")).alias("start")).select("start.*").collect())
-    return json.dumps([{"id": r.id, "hash": r.hash} for r in sorted(starts, key=tuple)])
+    return Ranges([{"id": r.id, "hash": r.hash} for r in sorted(starts, key=tuple)],
+                  rows.schema["id"].dataType.simpleString())
 
 
-def followed(rows: DataFrame, starts: str, carried: list[str]) -> DataFrame:
+def followed(rows: DataFrame, ranges: Ranges, carried: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the row that follows in the order of (id, hash);
     the first row follows the last.
 
     Texts are shuffled once, to the range they lie in; within a range the next
     row is at hand, and the last one takes the first row of the next range.
     """
-    kind = rows.schema["id"].dataType.simpleString()
-    bounds = F.from_json(F.lit(starts), f"array<struct<id:{kind},hash:bigint>>")
-    own = F.struct("id", "hash")
-    ranges = len(json.loads(starts))
-    placed = rows.withColumn("range", F.size(F.filter(bounds, lambda b: b <= own)) - 1)
+    number, is_start = ranges.place()
+    placed = rows.withColumn("range", number)
     order = Window.partitionBy("range").orderBy("id", "hash")
     ahead = placed.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}
                                | {"_last": F.lead("id").over(order).isNull()})
     # As many rows as there are ranges.
-    heads = (rows.where(F.exists(bounds, lambda b: b == own))
-             .withColumn("range", F.pmod(F.size(F.filter(bounds, lambda b: b <= own)) - 2,
-                                         F.lit(max(ranges, 1))))
+    heads = (rows.where(is_start)
+             .withColumn("range", F.pmod(number - 1, F.lit(max(len(ranges.starts), 1))))
              .dropDuplicates(["range"]).select(
                  F.col("range").alias("_range"), *[F.col(c).alias(f"_head_{c}") for c in carried]))
     return (ahead.join(heads, F.col("range") == F.col("_range"))
@@ -176,8 +204,8 @@ def report(docs: DataFrame, band: Band = Band(), id_column: str = "doc_id",
         "doc_id", F.coalesce("doc_id", F.lit(first)).alias("id"),
         F.xxhash64("text").alias("hash"), "text")
     terms = cut_lineage(lexicon(docs, band, text_column), "lexicon")
-    starts = _ranges(rows, range_bytes)
-    made = followed(with_prints(rows, {"text": "parts"}, terms), starts, ["text", "parts"])
+    ranges = _ranges(rows, range_bytes)
+    made = followed(with_prints(rows, {"text": "parts"}, terms), ranges, ["text", "parts"])
     chars = F.char_length("text")
     half = F.floor(chars / 2).cast("int")
     edited = made.select(
