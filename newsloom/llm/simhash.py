@@ -44,6 +44,8 @@ MAX_BITS = 2
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and length
 #: A key held by more fingerprints than this is resolved by neighbouring values.
 WIDE_KEY = 64
+#: Fingerprints of one in so many of all rows, or more, are named by a broadcast.
+COMMON = 1000
 #: Generator of the [23, 12, 7] Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
 
@@ -180,10 +182,10 @@ def links(values: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     fingerprints hang together if a chain of small differences joins them."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys find up to {MAX_BITS} differing bits")
-    by_key = Window.partitionBy("key")
-    shared = cut_lineage(
-        keyed(values).withColumn("holders", F.count("*").over(by_key)).where("holders > 1"),
-        "simhash-keys")
+    held = cut_lineage(keyed(values), "simhash-keys")
+    # Counted before they meet again, so a key that all hold is one row a task.
+    counts = held.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
+    shared = cut_lineage(held.join(counts, "key"), "simhash-shared")
     narrow = shared.where(F.col("holders") <= WIDE_KEY)
     homes = narrow.where("home").select("key", F.col("fingerprint").alias("a"))
     pairs = (homes.join(narrow.select("key", F.col("fingerprint").alias("b")), "key")
@@ -212,15 +214,32 @@ def grouped(docs: DataFrame, shingles: Shingles = Shingles(), id_column: str = "
             text_column: str = "text") -> DataFrame:
     """doc_id, fingerprint and component_id (the smallest doc_id reachable)."""
     marked = cut_lineage(fingerprints(docs, shingles, id_column, text_column), "fingerprints")
-    nodes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
+    nodes = cut_lineage(marked.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "simhash-nodes")
     found = components(links(nodes), "simhash")
     labelled = (nodes.join(found, nodes["fingerprint"] == found["node"], "left")
-                .select("fingerprint", "first_id",
+                .select("fingerprint", "first_id", "copies",
                         F.coalesce("component", "fingerprint").alias("component")))
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fingerprint = labelled.join(least, "component").select("fingerprint", "component_id")
-    return marked.join(by_fingerprint, "fingerprint").select("doc_id", "fingerprint",
-                                                             "component_id")
+    named = cut_lineage(labelled.join(least, "component").select(
+        F.col("fingerprint").alias("print"), "copies", "component_id"), "simhash-named")
+    return _named_copies(marked, named).select("doc_id", "fingerprint", "component_id")
+
+
+def _named_copies(marked: DataFrame, named: DataFrame) -> DataFrame:
+    """Each row of ``marked`` with its fingerprint's row of ``named``.
+
+    A fingerprint of at least one in ``COMMON`` of all rows would put them into
+    one task.  There are at most ``COMMON`` of these; they are broadcast, and
+    their rows are not shuffled.
+    """
+    rows = named.agg(F.sum("copies")).first()[0] or 0
+    common = F.col("copies") * COMMON >= rows
+    often = named.where(common)
+    own = F.col("fingerprint") == F.col("print")
+    return (marked.join(F.broadcast(often), own)
+            .unionByName(marked.join(F.broadcast(often.select("print")), own, "left_anti")
+                         .join(named.where(~common), own)))
 
 
 # --- near copies ------------------------------------------------------------
