@@ -19,7 +19,8 @@ two bits share one, so this way is exact as well.
 Defined cases: a null text is empty; a text of fewer words than a shingle is
 one shingle, one without words has fingerprint zero and is linked like any
 other; documents without an id belong to groups but are never their smallest
-id; rows with the same id are one document when duplicates are removed;
+id; when duplicates are removed, texts decide and not ids: unlike texts of one
+id stay, of a group without any id the row with the smallest digest stays;
 repeated rows and ties change nothing; an empty table gives an empty result;
 other columns are kept by ``deduplicated`` and not looked at.
 """
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import in_slices, release_memory
+from .common import in_slices, release_memory, text_of
 from .graph import components
 
 MAX_BITS = 2
@@ -223,20 +224,20 @@ def grouped(docs: DataFrame, shingles: Shingles = Shingles(), id_column: str = "
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = cut_lineage(labelled.join(least, "component").select(
         F.col("fingerprint").alias("print"), "copies", "component_id"), "simhash-named")
-    return _named_copies(marked, named).select("doc_id", "fingerprint", "component_id")
+    return _named_copies(marked, named, F.col("fingerprint") == F.col("print")).select(
+        "doc_id", "fingerprint", "component_id")
 
 
-def _named_copies(marked: DataFrame, named: DataFrame) -> DataFrame:
-    """Each row of ``marked`` with its fingerprint's row of ``named``.
+def _named_copies(marked: DataFrame, named: DataFrame, own: Column) -> DataFrame:
+    """Each row of ``marked`` with its print's row of ``named`` (print, copies and more).
 
-    A fingerprint of at least one in ``COMMON`` of all rows would put them into
-    one task.  There are at most ``COMMON`` of these; they are broadcast, and
-    their rows are not shuffled.
+    A print of at least one in ``COMMON`` of all rows would put them into one
+    task.  There are at most ``COMMON`` of these; they are broadcast, and their
+    rows are not shuffled.
     """
     rows = named.agg(F.sum("copies")).first()[0] or 0
     common = F.col("copies") * COMMON >= rows
     often = named.where(common)
-    own = F.col("fingerprint") == F.col("print")
     return (marked.join(F.broadcast(often), own)
             .unionByName(marked.join(F.broadcast(often.select("print")), own, "left_anti")
                          .join(named.where(~common), own)))
@@ -458,7 +459,8 @@ def near_links(sets: DataFrame, similarity: float) -> DataFrame:
 
 def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: float = SIMILARITY,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and component_id of groups of near copies.
+    """doc_id, digest (of the text), component_id (the smallest doc_id of its group
+    of near copies) and keeper: whether the group's first row has this id and text.
 
     Documents link if the Jaccard similarity of their sets of shingles is at
     least ``similarity``.  Sets that share a key of min-hashes, directly or over
@@ -466,7 +468,8 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
     compared exactly where their 512-bit fingerprints are not far apart.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
+                        F.md5(text_of(text_column)).alias("digest"))
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -476,12 +479,14 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
                 node.append(set_node(hashes))
                 keys.append(band_keys(hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "node", "keys"])
-
-    marked = cut_lineage(texts.mapInArrow(marks, f"doc_id {kind}, node long, keys array<long>"),
-                         "near-marks")
-    nodes = cut_lineage(marked.groupBy("node").agg(F.min("doc_id").alias("first_id")), "near-nodes")
+                [batch.column(0), batch.column(2), pa.array(node, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "node", "keys"])
+
+    marked = cut_lineage(texts.mapInArrow(
+        marks, f"doc_id {kind}, digest string, node long, keys array<long>"), "near-marks")
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    nodes = cut_lineage(marked.groupBy("node").agg(
+        F.min(own).alias("first"), F.count("*").alias("copies")), "near-nodes")
     keyed_nodes = marked.select("node", F.explode("keys").alias("key")).distinct()
     shared = (keyed_nodes.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
               .where("least < most").select(F.col("key").alias("shared_key"), "least"))
@@ -521,37 +526,55 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
         .select("group", "node", "hashes", "print"), "near-sets")
     found = components(near_links(sets, similarity), "near-copies").withColumnRenamed("node", "found_node")
     labelled = (nodes.join(found, F.col("node") == F.col("found_node"), "left")
-                .select("node", "first_id", F.coalesce("component", "node").alias("component")))
-    least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return (marked.select("doc_id", "node")
-            .join(labelled.join(least, "component").select("node", "component_id"), "node")
-            .select("doc_id", "component_id"))
+                .select("node", "first", "copies", F.coalesce("component", "node").alias("component")))
+    least = labelled.groupBy("component").agg(F.min("first").alias("keeper"))
+    named = cut_lineage(labelled.join(least, "component").select(
+        F.col("node").alias("print"), "copies", "keeper"), "near-named")
+    return _named_copies(marked.select("doc_id", "digest", "node"), named,
+                         F.col("node") == F.col("print")).select(
+        "doc_id", "digest", F.col("keeper.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id"))
+         & (F.col("digest") == F.col("keeper.digest"))).alias("keeper"))
 
 
 def deduplicated(docs: DataFrame, shingles: Shingles = Shingles(),
                  similarity: float = SIMILARITY, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
     """The documents, with all their columns, one of each group of near copies:
-    that with the smallest id.  Of rows with that id, the one with the smallest
-    text digest stays; documents without an id stay."""
+    that with the smallest id (rows without an id come last), then the smallest
+    text digest.  Unlike texts of one id are not copies of each other, and all stay."""
     groups = cut_lineage(near_grouped(docs, shingles, similarity, id_column, text_column),
                          "simhash-groups")
-    notes = (groups.where("doc_id is not null").groupBy("doc_id")
-             .agg(F.count("*").alias("times"), F.max(
-                 F.col("doc_id") == F.col("component_id")).alias("stays"))
-             .where("times > 1 or not stays")
-             .select(F.col("doc_id").cast("string").alias("noted_key"), "times", "stays"))
+    # A digest has 32 characters, so ids of any kind follow it unmistakably.
+    def key(digest: Column, doc_id: Column) -> Column:
+        return F.concat(digest, F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit("")))
+
+    notes = cut_lineage(
+        groups.groupBy(key(F.col("digest"), F.col("doc_id")).alias("noted_key"))
+        .agg(F.count("*").alias("times"), F.first("keeper").alias("stays"))
+        .where("times > 1 or not stays"), "near-notes")
     text = F.coalesce(F.col("row")[text_column], F.lit(""))
-    key = F.coalesce(F.col("row")[id_column].cast("string"),  # documents without an id spread
-                     F.concat(F.lit("?"), F.pmod(F.xxhash64(text), F.lit(997)).cast("string")))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn(
+        "_key", key(F.md5(text), F.col("row")[id_column]))
+    own = F.col("_key") == F.col("noted_key")
+    # Rows that agree in id and text may differ in other columns.
+    place = F.xxhash64(F.to_json("row"))
+    often = notes.where(F.col("times") * COMMON >= groups.count()).where("times > 1")
+    repeats = not often.isEmpty()
+    rest = packed
+    if repeats:  # at most ``COMMON`` keys, whose rows would crowd one task
+        rest = packed.join(F.broadcast(often.select("noted_key")), own, "left_anti")
     # The notes grow with the documents, so both sides are shuffled at every
-    # size: texts move once, and rows with the same id are then together.
-    noted = packed.withColumn("_key", key).join(
-        notes.hint("merge"), F.col("_key") == F.col("noted_key"), "left")
-    order = Window.partitionBy("_key").orderBy(F.when(F.col("times") > 1, F.sha2(text, 256)))
-    return (noted.withColumn("_place", F.row_number().over(order))
+    # size: texts move once, and rows with the same id and text are then together.
+    noted = rest.join(notes.hint("merge"), own, "left")
+    order = Window.partitionBy("_key").orderBy(F.when(F.col("times") > 1, place))
+    kept = (noted.withColumn("_place", F.row_number().over(order))
             .where("noted_key is null or (stays and _place = 1)").select("row.*"))
+    if repeats:
+        kept = kept.unionByName(
+            packed.join(F.broadcast(often.where("stays").select("noted_key")), own, "left_semi")
+            .groupBy("_key").agg(F.min_by("row", place).alias("row")).select("row.*"))
+    return kept
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -178,8 +178,37 @@ def test_one_document_of_each_group_stays(messy):
     assert kept.schema == messy.schema
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted({-5, 1, 3, 5, 7, 8, 9, 11, 12, 13, 15, 16, 2**62})
-    # 2 copies 1 and 6 copies 5; 10 is a near copy of 9; 4 and 14 are empty like 3.
-    assert ids.count(None) == 2
+    # 2 copies 1 and 6 copies 5; 10 is a near copy of 9; 4, 14 and a text without id are empty like 3.
+    assert ids.count(None) == 1
+
+
+@pytest.mark.parametrize("common", [1000, 0])
+def test_texts_decide_and_not_ids(spark, monkeypatch, common):
+    """Unlike texts of one id stay, near copies without an id go, repeated rows are one."""
+    monkeypatch.setattr(simhash, "COMMON", common)
+    draw = random.Random(6)
+    a, b, c = ([f"w{draw.randrange(10**6)}" for _ in range(200)] for _ in range(3))
+    near = [*c[:100], "changed", *c[101:]]
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (1, b, "y"), (None, c, "x"), (None, near, "x"),
+            (None, near, "y"), (2, a, "x"), (None, b, "x")]
+    docs = spark.createDataFrame([(i, " ".join(t), o) for i, t, o in rows],
+                                 "doc_id long, text string, other string")
+    kept = [(r.doc_id, r.text) for r in simhash.deduplicated(docs).collect()]
+    assert sorted(kept[k][1] for k in range(len(kept)) if kept[k][0] == 1) == sorted(map(" ".join, (a, b)))
+    unnamed = [t for i, t in kept if i is None]
+    assert len(kept) == 3 and len(unnamed) == 1 and unnamed[0] in (" ".join(c), " ".join(near))
+
+
+def test_most_rows_may_be_copies(spark):
+    """A text, with and without ids, that most rows hold; other columns clash in name."""
+    rows = [(None if i % 2 else i, "the same words " * 9, i, i) for i in range(90)]
+    rows += [(None, f"unlike text number {i} " * 5, 0, i) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copies int, print long")
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["0"] + ["None"] * 8
+    named = {r.doc_id: r.component_id for r in simhash.grouped(docs).collect() if r.doc_id is not None}
+    assert set(named.values()) == {0}
 
 
 def test_empty(no_docs):
