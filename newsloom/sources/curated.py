@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,28 @@ def write_curated(df: DataFrame, path: str, ingest_date: date) -> str:
     """Write one day of curated articles as Parquet, by market.
 
     Only that day's folder is replaced, as a whole: other days stay, and a
-    second run that has no rows for a market leaves no old ones behind.
+    second run that has no rows for a market leaves no old ones behind.  The day
+    is written beside the old one, in a folder that readers pass over, and put in
+    its place when it is whole; a write that fails leaves the old day as it was.
     """
-    target = f"{path.rstrip('/')}/ingest_date={ingest_date.isoformat()}"
-    (df.drop("ingest_date").write.mode("overwrite").partitionBy("primary_market")
-     .option("compression", "snappy").parquet(target))
+    root, spark, mark = path.rstrip("/"), df.sparkSession, uuid.uuid4().hex
+    target = f"{root}/ingest_date={ingest_date.isoformat()}"
+    beside, before = f"{root}/_writing-{mark}", f"{root}/_replaced-{mark}"
+    day, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, beside, before))
+    files = day.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        (df.drop("ingest_date").write.partitionBy("primary_market")
+         .option("compression", "snappy").parquet(beside))
+        replaces = files.exists(day)
+        if replaces and not files.rename(day, old):
+            raise OSError(f"{target} could not be moved aside")
+        if not files.rename(new, day):
+            if replaces:
+                files.rename(old, day)
+            raise OSError(f"{beside} could not be moved to {target}")
+    finally:
+        files.delete(new, True)  # what a failed write left
+    files.delete(old, True)
     return target
 
 

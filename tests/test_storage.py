@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pytest
 from rows import AS_OF, article
 from pyspark.sql import functions as F
 
@@ -63,6 +64,18 @@ def test_curated_store_keeps_days_and_drops_stale_markets(spark, raw, tmp_path):
     assert ("2026-08-14", "US") in days and ("2026-08-14", "EU") not in days and ("2026-08-13", "EU") in days
 
 
+def test_failing_write_keeps_the_old_day(spark, raw, tmp_path):
+    path = str(tmp_path / "curated")
+    df = curate(raw(rows()), AS_OF)
+    store.write_curated(df, path, date(2026, 8, 14))
+    broken = df.withColumn("title", F.when(F.col("title") == "", F.col("title"))
+                           .otherwise(F.raise_error(F.lit("lost source")).cast("string")))
+    with pytest.raises(Exception, match="lost source"):
+        store.write_curated(broken, path, date(2026, 8, 14))
+    assert differing_rows(store.read_curated(spark, path), df).count() == 0
+    assert [f.name for f in (tmp_path / "curated").iterdir() if not f.name.startswith(".")] == ["ingest_date=2026-08-14"]
+
+
 def test_exports(spark, raw, tmp_path):
     df = curate(raw(rows()), AS_OF)
     store.write_csv(df, str(tmp_path / "csv"))
