@@ -139,8 +139,10 @@ def _joined(small: DataFrame, large: DataFrame, threshold: float) -> DataFrame:
     by_code = (overlap(F.col("s.codes"), F.col("l.codes")) / F.col("s.m") >= threshold)
     collides = F.size(F.array_distinct("s.codes")) < F.col("s.m")
     near = overlap(F.col("s.tokens"), F.col("l.tokens")) / F.col("s.m") >= threshold
+    # Keys are many times the stored rows they come from, by whose size Spark would
+    # choose a broadcast, so both sides are shuffled at every size.
     # One condition, cheapest part first: Spark keeps the order.
-    return s.join(l, on & (by_code | collides) & near)
+    return s.hint("merge").join(l.hint("merge"), on & (by_code | collides) & near)
 
 
 def _pairs_within(rows: DataFrame, threshold: float) -> DataFrame:

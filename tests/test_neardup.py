@@ -167,3 +167,13 @@ def test_select_top_backfills(spark):
     assert [r.title for r in ranking.select_top(df, 3).collect()] == [A[0], C[0], D[0]]
     assert ranking.select_top(df, 3, collapse=False).count() == 3
     assert ranking.select_top(df, 3, markets=["us"]).count() == 0
+
+
+def test_keys_are_never_broadcast(spark):
+    """A small stored table has many keys, which would all be held by the driver."""
+    sigs = neardup.signatures(table(spark, random_stories(9, 60, 30)), "r")
+    stored = neardup.cut_lineage(neardup._prepare(sigs, neardup.THRESHOLD, neardup.Tuning(frequent=1)), "few")
+    for pairs in (neardup._pairs_within(stored, neardup.THRESHOLD),
+                  neardup._first_leader(stored.where("rank < 20"), stored.where("rank >= 20"), neardup.THRESHOLD)):
+        plan = pairs._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
