@@ -22,7 +22,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: fingerprints within two
+    bits, met over Golay keys, and beside them texts of a similarity of 0.8."""
     return simhash.deduplicated(docs)
 
 

@@ -28,7 +28,7 @@ other columns are kept by ``deduplicated`` and not looked at.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,8 +87,13 @@ def _bit_counts(words: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str, shingles: Shingles) -> int:
     """The 64-bit fingerprint of one text."""
+    return _majority(_shingle_hashes(text, shingles))
+
+
+def _majority(pieces: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the hashes."""
     counts, n = np.zeros(64, np.int64), 0
-    for hashes in _shingle_hashes(text, shingles):
+    for hashes in pieces:
         counts += _bit_counts(hashes.reshape(-1, 1))
         n += len(hashes)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
@@ -258,7 +263,11 @@ BLOCK, BLOCK_SHINGLES, PIVOTS = 512, 1 << 20, 8
 
 def shingle_set(text: str, shingles: Shingles) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(text, shingles)]))
+    return _distinct(_shingle_hashes(text, shingles))
+
+
+def _distinct(pieces: Iterable[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]))
 
 
 def set_node(hashes: np.ndarray) -> int:
@@ -457,13 +466,32 @@ def near_links(sets: DataFrame, similarity: float) -> DataFrame:
     return links.unionByName(_linked_sets(cells.join(contents, "node"), similarity))
 
 
+def print_links(marked: DataFrame) -> DataFrame:
+    """Links (a, b) of the nodes of ``marked`` (node, fingerprint) whose fingerprints
+    are within ``MAX_BITS`` of each other, found by Golay keys, or hang together over others."""
+    held = marked.select("node", "fingerprint").distinct()
+    prints = cut_lineage(held.groupBy("fingerprint").agg(
+        F.min("node").alias("first_node"), F.max("node").alias("last_node")), "near-prints")
+    shared = prints.where("first_node < last_node").select(
+        F.col("fingerprint").alias("print"), F.col("first_node").alias("b"))
+    equal = (held.join(shared, F.col("fingerprint") == F.col("print"))
+             .where("node <> b").select(F.col("node").alias("a"), "b"))
+    ends = links(prints)
+    for end in ("a", "b"):
+        named = prints.select(F.col("fingerprint").alias(end), F.col("first_node").alias("_node"))
+        ends = ends.join(named, end).drop(end).withColumnRenamed("_node", end)
+    return cut_lineage(equal.unionByName(ends), "near-print-links")
+
+
 def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: float = SIMILARITY,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, digest (of the text), component_id (the smallest doc_id of its group
     of near copies) and keeper: whether the group's first row has this id and text.
 
-    Documents link if the Jaccard similarity of their sets of shingles is at
-    least ``similarity``.  Sets that share a key of min-hashes, directly or over
+    Documents link if their fingerprints differ in at most ``MAX_BITS`` bits, found
+    by Golay keys as in :func:`grouped`.  Beside them, as that distance leaves out
+    many near copies, documents link if the Jaccard similarity of their sets of
+    shingles is at least ``similarity``.  Sets that share a key of min-hashes, directly or over
     others, are a candidate group.  The texts of these groups are read again and
     compared exactly where their 512-bit fingerprints are not far apart.
     """
@@ -473,17 +501,22 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            node, keys = [], []
+            node, prints, keys = [], [], []
             for t in batch.column(1):
-                hashes = shingle_set(t.as_py() or "", shingles)
+                pieces = list(_shingle_hashes(t.as_py() or "", shingles))
+                hashes = _distinct(pieces)
                 node.append(set_node(hashes))
+                prints.append(_majority(pieces))
                 keys.append(band_keys(hashes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(node, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "node", "keys"])
+                 pa.array(np.array(prints, np.uint64).view(np.int64)),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "node", "fingerprint", "keys"])
 
     marked = cut_lineage(texts.mapInArrow(
-        marks, f"doc_id {kind}, digest string, node long, keys array<long>"), "near-marks")
+        marks, f"doc_id {kind}, digest string, node long, fingerprint long, keys array<long>"),
+        "near-marks")
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
     nodes = cut_lineage(marked.groupBy("node").agg(
         F.min(own).alias("first"), F.count("*").alias("copies")), "near-nodes")
@@ -524,7 +557,8 @@ def near_grouped(docs: DataFrame, shingles: Shingles = Shingles(), similarity: f
         .groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("print").alias("print"))
         .join(groups, F.col("node") == F.col("group_node"))
         .select("group", "node", "hashes", "print"), "near-sets")
-    found = components(near_links(sets, similarity), "near-copies").withColumnRenamed("node", "found_node")
+    near = near_links(sets, similarity).unionByName(print_links(marked))
+    found = components(near, "near-copies").withColumnRenamed("node", "found_node")
     labelled = (nodes.join(found, F.col("node") == F.col("found_node"), "left")
                 .select("node", "first", "copies", F.coalesce("component", "node").alias("component")))
     least = labelled.groupBy("component").agg(F.min("first").alias("keeper"))

@@ -214,3 +214,28 @@ def test_most_rows_may_be_copies(spark):
 def test_empty(no_docs):
     assert simhash.report(no_docs).collect() == []
     assert simhash.deduplicated(no_docs).collect() == []
+
+
+def test_near_copies_link_by_fingerprints_too(spark):
+    """Fingerprints within two bits link, whatever the sets of distinct shingles share."""
+    draw = random.Random(17)
+
+    def some(n):
+        return " ".join(f"w{draw.randrange(5000)}" for _ in range(n))
+
+    rows = []
+    for family in range(6):
+        line = some(15)
+        for n in (60, 61, 90):  # one line over and over, with tails of its own
+            rows.append(" ".join([line] * n) + " " + some(8 + n // 4))
+        rows.append(some(40))
+    rows += [rows[0], "", None, "one", "two"]
+    prints = [brute_print(t, 5) for t in rows]
+    sets = [set(simhash.shingle_set(t or "", simhash.Shingles()).tolist()) for t in rows]
+    expected = brute_groups(prints, list(range(len(rows))), 2)
+    apart = [(i, j) for i in range(len(rows)) for j in range(i)
+             if sets[i] and expected[i] == expected[j] and rows[i] != rows[j]]
+    assert apart and all(len(sets[i] & sets[j]) < 0.8 * len(sets[i] | sets[j]) for i, j in apart)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_grouped(docs).collect()}
+    assert got == dict(enumerate(expected))
