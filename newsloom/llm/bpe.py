@@ -10,7 +10,7 @@ Defined cases: a null text is the empty text and gives no ids; special tokens
 in a text become their own ids, as the vocabulary file says; equal texts give
 equal ids; rows are independent, so ties, repeats and other columns do not
 matter, and an empty table gives an empty result.  Memory in a task is bounded
-by one Arrow batch and two caches of ``CACHE_WORDS`` words.
+by one Arrow batch and three caches of ``CACHE_WORDS`` words.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import functools
 import hashlib
 import heapq
 import json
-import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import in_slices
 
 LONG_WORD = 96
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 #: Documents of one output batch.
 SLICE = 256
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -63,32 +63,38 @@ class Codec:
     single: list[int] = field(init=False)
     cache: dict[str, bytes] = field(default_factory=dict)
     pieces: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)  # pieces of the cache before
 
     def __post_init__(self) -> None:
         self.single = [self.ids[bytes([b])] for b in range(256)]
         self.words = regex.compile(PATTERN)
-        self.edges = re.compile(r"\s \S|\S \s|\A | \Z")
+        # Pairs as one number, ranks alone, and the id behind each rank: plain
+        # numbers compare far faster than tuples.
+        self.size = len(self.tokens)
+        self.joined = {left * self.size + right: rank for (left, right), (rank, _) in self.ranks.items()}
+        self.merged = dict(self.ranks.values())
+        self.starts = [self.joined.get(a * self.size + b, _NONE)
+                       for a in self.single for b in self.single]
         self.cut = regex.compile("|".join(
             regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         ) if self.specials else None
 
     def merge_short(self, word: bytes) -> list[int]:
         """Part ids and adjacent ranks side by side; the leftmost smallest rank goes first."""
-        parts = [self.single[b] for b in word]
-        ranks = self.ranks
-        none = (_NONE, -1)
-        links = [ranks.get(pair, none) for pair in zip(parts, parts[1:])]
+        single, starts, get, size = self.single, self.starts, self.joined.get, self.size
+        parts = [single[b] for b in word]
+        links = [starts[a << 8 | b] for a, b in zip(word, word[1:])]
         while links:
             best = min(links)
-            if best[0] == _NONE:
+            if best == _NONE:
                 break
             at = links.index(best)
-            parts[at] = best[1]
+            parts[at] = own = self.merged[best]
             del parts[at + 1], links[at]
             if at:
-                links[at - 1] = ranks.get((parts[at - 1], parts[at]), none)
+                links[at - 1] = get(parts[at - 1] * size + own, _NONE)
             if at < len(links):
-                links[at] = ranks.get((parts[at], parts[at + 1]), none)
+                links[at] = get(own * size + parts[at + 1], _NONE)
         return parts
 
     def merge_long(self, word: bytes) -> list[int]:
@@ -120,23 +126,37 @@ class Codec:
             offer(at)
         return [p for p in parts if p >= 0]
 
+    def _packed(self, raw: bytes) -> bytes:
+        merged = self.merge_short(raw) if len(raw) <= LONG_WORD else self.merge_long(raw)
+        return struct.pack(f"<{len(merged)}I", *merged)
+
     def word(self, word: str) -> bytes:
         """The word's ids as little-endian 32-bit integers."""
         raw = word.encode()
-        merged = self.merge_short(raw) if len(raw) <= LONG_WORD else self.merge_long(raw)
-        packed = np.asarray(merged, "<u4").tobytes()
+        packed = self._packed(raw)
         if len(raw) <= LONG_WORD:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
             self.cache[word] = packed
         return packed
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a space and the piece, which neither starts nor ends with white space."""
+    def _words(self, text: str) -> list[bytes]:
         get, word = self.cache.get, self.word
-        packed = b"".join([get(w) or word(w) for w in self.words.findall(" " + piece)])
+        return [get(w) or word(w) for w in self.words.findall(text)]
+
+    def _piece(self, piece: str) -> bytes | None:
+        """Ids of a space and the piece; None if it starts or ends with white space."""
+        packed = self.older.get(piece)
+        if packed is None:
+            if piece[0].isspace() or piece[-1].isspace():
+                return None
+            if piece.isascii() and piece.isalpha():  # one word, without asking the pattern
+                packed = self._packed(b" " + piece.encode())
+            else:
+                packed = b"".join(self._words(" " + piece))
         if len(piece) <= LONG_WORD:
             if len(self.pieces) >= CACHE_WORDS:
+                self.older = dict(self.pieces)  # what is still in use comes back from here
                 self.pieces.clear()
             self.pieces[piece] = packed
         return packed
@@ -144,14 +164,18 @@ class Codec:
     def _plain(self, text: str, out: list[bytes]) -> None:
         """A word never reaches over a space between two other characters, so
         such a text is cut there first, which is far cheaper than the pattern."""
-        get, word = self.cache.get, self.word
         first, *pieces = text.split(" ")
-        if all(pieces) and not self.edges.search(text):
-            out += [get(w) or word(w) for w in self.words.findall(first)]
+        if first and pieces and all(pieces) and not first[-1].isspace():
             get, piece = self.pieces.get, self._piece
-            out += [get(p) or piece(p) for p in pieces]
-        else:
-            out += [get(w) or word(w) for w in self.words.findall(text)]
+            last = pieces.pop()
+            packed = [get(p) or piece(p) for p in pieces]
+            # The last one may end with white space, as nothing follows it.
+            if None not in packed and not last[0].isspace():
+                out += self._words(first)
+                out += packed
+                out += self._words(" " + last)
+                return
+        out += self._words(text)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

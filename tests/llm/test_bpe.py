@@ -62,3 +62,16 @@ def test_decoded_column(messy):
 
 def test_empty(no_docs):
     assert bpe.encoded(no_docs).collect() == []
+
+
+def test_words_in_use_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 4)
+    codec = bpe.load.__wrapped__(bpe.default_vocabulary())
+    merged = []
+    plain = codec.merge_short
+    codec.merge_short = lambda raw: merged.append(raw) or plain(raw)
+    lib = Tokenizer.from_file(bpe.default_vocabulary())
+    for text in ("x hot a b c d e f hot g h end", "one two\n three", " two", "two ", "a  b", "a\n b\n", "end\n"):
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == lib.encode(
+            text, add_special_tokens=False).ids, text
+    assert merged.count(b" hot") == 1
