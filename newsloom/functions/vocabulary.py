@@ -1,23 +1,27 @@
 """Find which words of a vocabulary occur in a text, in one pass.
 
 Asking ``contains`` for each of some three hundred literals reads the text
-three hundred times.  Here the literals become one prefix-shared regular
-expression inside a look-ahead, so at every position the longest literal that
-starts there is reported; shorter ones that start there too are its prefixes
-and are added from a constant map.  The result is the exact set of literals
-that occur as substrings.
+three hundred times, and a regular expression of all of them still tries some
+branches at every position.  Here the first three bytes at every position are
+looked up in one table, for a batch of texts at a time, and only where a literal
+begins with them is it compared.  The result is the exact set of literals that
+occur as substrings.  Texts travel in Arrow batches; callers keep the result as
+a value (:func:`newsloom.operators.enrichment.materialize`).
 """
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicon import Lexicon
-from .binding import lit_array, sql_text
+from .binding import lit_array
 
 
 # Alternatives tried one by one before a character-class test splits them.
@@ -38,31 +42,65 @@ def choose(branches: list[tuple[str, str]]) -> str:
         for part in parts) + ")"
 
 
-def _shared_prefix_regex(words: list[str]) -> str:
-    """Alternation of the words in which common beginnings are written once;
-    at any position it prefers the longest word."""
-    by_first: dict[str, list[str]] = {}
+#: Bytes of text that are looked at in one piece.
+_PIECE = 1 << 20
+
+
+@functools.lru_cache(maxsize=4)
+def _beginnings(words: tuple[str, ...]) -> tuple[int, np.ndarray, dict[bytes, list[tuple[bytes, str]]]]:
+    """Length of the beginnings (at most three bytes), which of them words have, and these words."""
+    by_start: dict[bytes, list[tuple[bytes, str]]] = {}
+    words = tuple(w for w in words if w)
+    width = min([3, *(len(w.encode()) for w in words)])
     for w in words:
-        if w:
-            by_first.setdefault(w[0], []).append(w[1:])
-    if not by_first:
-        return ""
-    body = choose([(c, re.escape(c) + _shared_prefix_regex(rest))
-                    for c, rest in sorted(by_first.items())])
-    return f"(?:{body})?" if "" in words else body
+        by_start.setdefault(w.encode()[:width], []).append((w.encode(), w))
+    known = np.zeros(1 << 8 * width, bool)
+    for start in by_start:
+        known[int.from_bytes(start, "big")] = True
+    return width, known, by_start
+
+
+def _found(texts: list[bytes], words: tuple[str, ...]) -> list[list[str]]:
+    """The words that occur in each of the texts."""
+    width, known, by_start = _beginnings(words)
+    ends = np.cumsum([len(t) for t in texts])
+    joined = b"".join(texts)
+    out: list[set[str]] = [{w for w in words if not w} for _ in texts]
+    n = len(joined) - width + 1
+    if n > 0:
+        raw = np.frombuffer(joined, np.uint8)
+        code = raw[:n].astype(np.int32)
+        for i in range(1, width):
+            code = code << 8 | raw[i:n + i]
+        at = np.flatnonzero(known[code])
+        rows = np.searchsorted(ends, at, side="right")
+        for place, row, end in zip(at.tolist(), rows.tolist(), ends[rows].tolist()):
+            for word, name in by_start[joined[place:place + width]]:
+                if joined.startswith(word, place, end):
+                    out[row].add(name)
+    return [sorted(names) for names in out]
 
 
 def words_in(text: Column, words: Iterable[str]) -> Column:
-    """Distinct words of the list that occur in the text as substrings."""
-    vocabulary = sorted(set(words))
-    longest = F.array_distinct(F.regexp_extract_all(
-        text, F.lit(f"(?=({_shared_prefix_regex(vocabulary)}))"), F.lit(1)))
-    nested = {w: [p for p in vocabulary if p != w and w.startswith(p)] for w in vocabulary}
-    inner = F.expr("map(" + ", ".join(
-        f"{sql_text(w)}, array({', '.join(sql_text(p) for p in (w, *ps))})"
-        for w, ps in nested.items()) + ")")
-    return F.array_distinct(F.flatten(F.transform(
-        longest, lambda w: F.element_at(inner, w))))
+    """Distinct words of the list that occur in the text as substrings, sorted;
+    NULL for NULL."""
+    vocabulary = tuple(sorted(set(words)))
+
+    @F.pandas_udf("array<string>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out, held, size = [], [], 0
+            for t in batch:
+                held.append(t or b"")
+                size += len(held[-1])
+                if size >= _PIECE:
+                    out += _found(held, vocabulary)
+                    held, size = [], 0
+            out += _found(held, vocabulary)
+            yield pd.Series([None if t is None else names for t, names in zip(batch, out)],
+                            dtype=object)
+
+    return find(text.cast("binary"))
 
 
 def _literals(lexicon: Lexicon) -> Iterable[str]:

@@ -242,9 +242,12 @@ CORE_PATTERNS: tuple[str, ...] = (
 )
 # A text without any of these literals cannot match a core pattern.
 CORE_GUARDS: tuple[str, ...] = (
-    "esg", "sustainab", "climate", "carbon", "emission", "net", "green",
+    "esg", "sustainab", "climate", "carbon", "emission", "green",
     "renewable", "decarboni", "environmental", "governance", "biodiversity",
     "circular economy", "fossil fuel", "transition",
+    # A hyphen or any white space; "net" alone would let most texts pass.
+    *(f"net{c}zero" for c in "-\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"),
 )
 
 # ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from rows import article
 from pyspark.sql import functions as F
 
 from newsloom.functions import tagging
+from newsloom.functions.vocabulary import lexicon_hits
 from newsloom.lexicon import Lexicon
 from newsloom.operators.enrichment import enrich, with_timestamps
 from newsloom.operators.filters import is_relevant
@@ -114,3 +115,15 @@ def test_other_lexicon_and_scorer(raw):
     row = enrich(with_timestamps(raw([article(title="Tulip prices")])), lexicon,
                  scorer=lambda f: F.size(f.esg_pillars).cast("double")).first()
     assert row.esg_pillars == ["T"] and row.topics == [] and row.relevance_score == 1.0
+
+
+def test_core_patterns_pass_their_guards(spark):
+    """Every white space in "net zero" is seen, and "net" alone does not read the text again."""
+    texts = [f"a net{chr(c)}zero plan" for c in [*range(1, 0x100), *range(0x1680, 0x1681), *range(0x180e, 0x180f),
+                                                *range(0x1ff0, 0x2070), 0x3000, 0xfeff]]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    hits = lexicon_hits(F.col("t"), Lexicon())
+    seen = rows.select(tagging.core_hits(F.col("t"), hits).alias("n"),
+                       F.regexp_like("t", F.lit(r"(?U)net[-\s]zero")).alias("match"), "t").collect()
+    assert [r.t for r in seen if (r.n > 0) != r.match] == []
+    assert "net" not in Lexicon().core_guards

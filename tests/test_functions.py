@@ -142,6 +142,14 @@ def test_vocabulary_scan_equals_substring_tests(spark):
     assert all(len(g) == len(set(g)) for g in got)
 
 
+def test_words_of_any_width_come_sorted_and_stay_in_their_text(spark):
+    words = ["eu", "é", "solar", "sol", "ar p", "larp"]
+    texts = ["solar panel", "", None, "sol", "ar", "par per caf\u00e9", "larpeu" * 3, "x" * (1 << 20) + " solar", "e", "u"]
+    got = values(spark, lambda c: vocabulary.words_in(c, words), texts)
+    assert got == [None if t is None else sorted(w for w in words if w in t) for t in texts]
+    assert values(spark, lambda c: vocabulary.words_in(c, []), ["a", ""]) == [[], []]
+
+
 def test_dates_agree_with_the_mail_library(spark):
     from datetime import datetime, timezone
     from email.utils import mktime_tz, parsedate_tz
