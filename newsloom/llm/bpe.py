@@ -20,8 +20,8 @@ import hashlib
 import heapq
 import json
 import struct
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import InitVar, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,11 @@ from pyspark.sql import functions as F
 from .common import in_slices
 
 LONG_WORD = 96
-CACHE_WORDS = 250_000
+#: Words of a cache.  Codec and full caches take less than 75 MB of a worker (tested
+#: with words of nine letters).
+CACHE_WORDS = 1 << 16
+#: Signs that follow a word and are one word by themselves, however many.
+SIGNS = ",.;:!?"
 #: Documents of one output batch.
 SLICE = 256
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -56,8 +60,8 @@ def byte_letters() -> dict[str, int]:
 class Codec:
     """Ids of byte strings, ranks of merges, and the bytes of ids."""
 
-    ids: dict[bytes, int]
-    ranks: dict[tuple[int, int], tuple[int, int]]  # pair of ids -> (rank, merged id)
+    ids: InitVar[dict[bytes, int]]
+    ranks: InitVar[Iterable[tuple[int, int, int]]]  # left id, right id and merged id by rank
     tokens: list[bytes]
     specials: dict[str, int]
     single: list[int] = field(init=False)
@@ -65,14 +69,16 @@ class Codec:
     pieces: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)  # pieces of the cache before
 
-    def __post_init__(self) -> None:
-        self.single = [self.ids[bytes([b])] for b in range(256)]
+    def __post_init__(self, ids: dict[bytes, int], ranks: Iterable[tuple[int, int, int]]) -> None:
+        self.single = [ids[bytes([b])] for b in range(256)]
         self.words = regex.compile(PATTERN)
         # Pairs as one number, ranks alone, and the id behind each rank: plain
-        # numbers compare far faster than tuples.
+        # numbers compare far faster than tuples, and take less room.
         self.size = len(self.tokens)
-        self.joined = {left * self.size + right: rank for (left, right), (rank, _) in self.ranks.items()}
-        self.merged = dict(self.ranks.values())
+        self.joined, self.merged = {}, []
+        for rank, (left, right, own) in enumerate(ranks):
+            self.joined[left * self.size + right] = rank
+            self.merged.append(own)
         self.starts = [self.joined.get(a * self.size + b, _NONE)
                        for a in self.single for b in self.single]
         self.cut = regex.compile("|".join(
@@ -100,24 +106,24 @@ class Codec:
     def merge_long(self, word: bytes) -> list[int]:
         """The same merges in n log n: linked parts and a heap of (rank, place)."""
         parts = [self.single[b] for b in word]
-        n = len(parts)
+        n, get, size = len(parts), self.joined.get, self.size
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[int, int, int, int]] = []
 
         def offer(at: int) -> None:
             if at >= 0 and after[at] < n:
-                found = self.ranks.get((parts[at], parts[after[at]]))
-                if found:
-                    heapq.heappush(heap, (found[0], at, parts[at], parts[after[at]]))
+                rank = get(parts[at] * size + parts[after[at]])
+                if rank is not None:
+                    heapq.heappush(heap, (rank, at, parts[at], parts[after[at]]))
 
         for i in range(n):
             offer(i)
         while heap:
-            _, at, left, right = heapq.heappop(heap)
+            rank, at, left, right = heapq.heappop(heap)
             if parts[at] != left or after[at] >= n or parts[after[at]] != right:
                 continue
             gone = after[at]
-            parts[at] = self.ranks[left, right][1]
+            parts[at] = self.merged[rank]
             parts[gone] = -1
             after[at] = after[gone]
             if after[at] < n:
@@ -150,10 +156,19 @@ class Codec:
         if packed is None:
             if piece[0].isspace() or piece[-1].isspace():
                 return None
-            if piece.isascii() and piece.isalpha():  # one word, without asking the pattern
-                packed = self._packed(b" " + piece.encode())
+            # Pieces of several words stay out of the cache, which holds each word once.
+            core = piece.rstrip(SIGNS) if piece.isascii() else ""
+            if not core.isalpha():
+                words = self._words(" " + piece)
+                if len(words) > 1:
+                    return b"".join(words)
+                packed = words[0]
+            elif len(core) < len(piece):  # a word and signs, without asking the pattern
+                signs = piece[len(core):]
+                return ((self.pieces.get(core) or self._piece(core))
+                        + (self.cache.get(signs) or self.word(signs)))
             else:
-                packed = b"".join(self._words(" " + piece))
+                packed = self._packed(b" " + piece.encode())
         if len(piece) <= LONG_WORD:
             if len(self.pieces) >= CACHE_WORDS:
                 self.older = dict(self.pieces)  # what is still in use comes back from here
@@ -211,12 +226,14 @@ def load(path: str) -> Codec:
         tokens[i] = token
     for token, i in specials.items():
         tokens[i] = token.encode()
-    ranks = {}
-    for rank, pair in enumerate(spec["model"]["merges"]):
-        a, b = pair.split(" ") if isinstance(pair, str) else pair
-        left, right = (bytes(letters[c] for c in x) for x in (a, b))
-        ranks[ids[left], ids[right]] = (rank, ids[left + right])
-    return Codec(ids, ranks, tokens, specials)
+
+    def ranks() -> Iterator[tuple[int, int, int]]:
+        for pair in spec["model"]["merges"]:
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            left, right = (bytes(letters[c] for c in x) for x in (a, b))
+            yield ids[left], ids[right], ids[left + right]
+
+    return Codec(ids, ranks(), tokens, specials)
 
 
 def encoded(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -75,3 +77,29 @@ def test_words_in_use_outlive_a_full_cache(monkeypatch):
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == lib.encode(
             text, add_special_tokens=False).ids, text
     assert merged.count(b" hot") == 1
+
+
+def test_words_followed_by_signs(library):
+    codec = bpe.load.__wrapped__(PATH)
+    for text in ("a word, then. word,, ...word word?!; 3, don't, x", "on, on, on,\non, on ,on :on: 'on', éa, éa,. end!",
+                 "a .\n, b,\tc, d,\u00a0e, f,", "and <|endoftext|>, and<|endoftext|>. and, and"):
+        for _ in range(2):  # anew, and from the caches
+            assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode(
+                text, add_special_tokens=False).ids, text
+
+
+def test_full_caches_leave_a_worker_small():
+    """Memory that a worker of its own takes for a codec and ever new words."""
+    run = """
+import random, re
+from newsloom.llm import bpe
+def mb():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+draw, before = random.Random(1), mb()
+codec = bpe.load(bpe.default_vocabulary())
+for k in range(600):
+    codec.encode(" ".join("".join(draw.choices("abdeilmnorstu", k=9)) + ("", "", ",", "é", "...")[i % 5] for i in range(1000)))
+print(mb() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", run], capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 75, done.stdout
