@@ -13,24 +13,27 @@ How this scales
 * The best-ranked stories, up to a fixed number, are scanned in rank order by
   one task that keeps an index of the kept ones.  No pair is listed, so a family
   of similar stories costs one comparison a member.
-* Beyond that, stories are worked off in batches, each several times as large as
-  the one before.  Stories kept so far first remove everything near them; what
-  is left of a batch is resolved by pairs (prefix-based greedy maximal
-  independent set), found by equi-joins on keys.  Tokens are ordered rare ones
-  first; if a story of m tokens needs o shared ones, some shared token stands
-  among its first m-o+1 and two among its first m-o+2.  Rare tokens are keys on
-  their own; frequent ones only in pairs, which are far rarer (a signature is
-  short, so its pairs are bounded).  That loses no pair.
+* Beyond that, stories are worked off in batches up to a fixed number.  The
+  stories that the last batch keeps are broadcast as an index, and map tasks look
+  every open story up in it where it lies: what is near one of them goes.  The
+  best-ranked of what is left are the next batch and are scanned like the first.
+  Tokens are whole numbers by then, and a look-up counts the tokens a story
+  shares with every indexed one, so it is exact.  No pair and no key is listed,
+  shuffled or stored; a round writes only the narrow rows that are still open.
+  Time still grows with the square of the stories that are kept.
 * :func:`first_distinct` finds the first few kept stories of many rankings at
   once, without collapsing any of them further than that.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +53,10 @@ class Tuning:
 
     frequent: int = 128  # a token in more signatures than this is frequent
     first_batch: int = 4096  # stories that one task scans, about 1 KB each
-    growth: int = 8
+    growth: int = 8  # of the batches, up to
+    batch: int = 32768  # stories that one task scans and that are broadcast, and
+    held: int = 1_000_000  # tokens of them, 16 bytes each
+    task: int = 4096  # open stories a map task looks up
     block: int = 256  # stories of one ranking that are scanned at a time
 
 
@@ -81,6 +87,12 @@ def _fold_copies(sigs: DataFrame) -> DataFrame:
             .select("first.id", "first.rank", "tokens"))
 
 
+# Near pairs by joins on keys, a second way to the same pairs: if a story of m
+# tokens, rare ones first, needs o shared ones, some shared token stands among its
+# first m-o+1 and two among its first m-o+2.  Rare tokens are keys on their own,
+# frequent ones only in pairs.  A story has a hundred keys and more, each with its
+# tokens, so the collapse does not take this way.
+
 def _prepare(stories: DataFrame, threshold: float, tuning: Tuning) -> DataFrame:
     """Order every signature's tokens and add the key material."""
     m = F.size("tokens")
@@ -165,32 +177,7 @@ def _first_leader(leaders: DataFrame, rest: DataFrame, threshold: float) -> Data
     return found.groupBy("id").agg(F.min("leader").alias("leader"))
 
 
-def _resolve(pairs: DataFrame) -> DataFrame:
-    """Which stories of a batch are dropped: (dropped, leader).
-
-    Round by round: a story without an earlier open neighbour is kept, its
-    neighbours are dropped.  The outcome equals the scan in rank order.
-    """
-    dropped = None
-    open_pairs, rounds = pairs, 0
-    while True:
-        late = open_pairs.select(F.col("late").alias("x")).distinct()
-        # An open pair whose early story is nobody's late one: that one is safe.
-        out = cut_lineage(open_pairs.join(late, F.col("early") == F.col("x"), "left_anti")
-                          .select(F.col("late").alias("x")).distinct(), "dropped")
-        if out.isEmpty():
-            break
-        dropped = out if dropped is None else dropped.unionByName(out)
-        open_pairs = (open_pairs.join(out, F.col("early") == F.col("x"), "left_anti")
-                      .join(out, F.col("late") == F.col("x"), "left_anti"))
-        rounds += 1
-        if rounds % 3 == 0:
-            open_pairs = cut_lineage(open_pairs, "open-pairs")
-    if dropped is None:
-        return pairs.select(F.col("late.id").alias("id"), F.col("early").alias("leader")).limit(0)
-    kept_early = pairs.join(dropped, F.col("early") == F.col("x"), "left_anti")
-    return kept_early.groupBy("late.id").agg(F.min("early").alias("leader"))
-
+# The scan in rank order.
 
 class _Kept:
     """Stories kept so far and an index of their tokens."""
@@ -214,6 +201,10 @@ class _Kept:
         self.sizes.append(len(tokens))
 
 
+_NAME = pa.struct([("rank", pa.int64()), ("id", pa.string())])
+_LEADER = "leader struct<rank: long, id: string>"
+
+
 def _scanned(rows: DataFrame, threshold: float) -> DataFrame:
     """(id, rank, tokens, leader) of few rows, by one scan in rank order."""
     def run(table: pa.Table) -> pa.Table:
@@ -225,11 +216,173 @@ def _scanned(rows: DataFrame, threshold: float) -> DataFrame:
             if near is None:
                 kept.add(tokens)
                 names.append({"rank": rank, "id": name})
-        leader = pa.array(leaders, pa.struct([("rank", pa.int64()), ("id", pa.string())]))
-        return table.select(["id", "rank", "tokens"]).append_column("leader", leader)
+        return table.select(["id", "rank", "tokens"]).append_column("leader", pa.array(leaders, _NAME))
 
     return rows.select("id", "rank", "tokens", F.lit(0).alias("_all")).groupBy("_all").applyInArrow(
-        run, "id string, rank long, tokens array<string>, leader struct<rank: long, id: string>")
+        run, f"id string, rank long, tokens array<string>, {_LEADER}")
+
+
+def _enough(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """The fewest shared tokens that make a story near one of ``sizes`` tokens, if
+    that is the smaller one."""
+    sizes = np.maximum(sizes, 1)
+    least = np.maximum(np.ceil(threshold * sizes), 1).astype(np.int64)
+    least += least / sizes < threshold  # a product may be a hair off
+    return least - ((least > 1) & ((least - 1) / sizes >= threshold))
+
+
+@lru_cache(4096)
+def _own_enough(size: int, threshold: float) -> int:
+    return int(_enough(np.array([size]), threshold)[0])
+
+
+class _Index:
+    """Stories by their number in rank order, and for every token its holders."""
+
+    def __init__(self, stories: Sequence[np.ndarray], threshold: float) -> None:
+        sizes = np.fromiter(map(len, stories), np.int64, len(stories))
+        tokens = np.concatenate([np.empty(0, np.int64), *stories])
+        order = np.argsort(tokens, kind="stable")
+        self.holders = np.repeat(np.arange(len(stories)), sizes)[order]
+        self.tokens, start = np.unique(tokens[order], return_index=True)
+        self.bounds = np.append(start, len(tokens))
+        self.enough = _enough(sizes, threshold)
+        self.threshold = threshold
+
+    def near(self, tokens: np.ndarray) -> np.ndarray:
+        """Which stories are near."""
+        at = np.searchsorted(self.tokens, tokens)
+        known = at < len(self.tokens)
+        at = at[known][self.tokens[at[known]] == tokens[known]]
+        if not len(at):
+            return np.zeros(len(self.enough), bool)
+        held = np.concatenate([self.holders[i:j] for i, j in zip(
+            self.bounds[at].tolist(), self.bounds[at + 1].tolist())])
+        # The smaller signature asks for fewer tokens, so the lesser number counts.
+        enough = np.minimum(self.enough, _own_enough(len(tokens), self.threshold))
+        return np.bincount(held, minlength=len(enough)) >= enough
+
+    def first_near(self, tokens: np.ndarray) -> int | None:
+        """The number of the first story that is near, if any."""
+        near = self.near(tokens)
+        first = int(near.argmax())
+        return first if near[first] else None
+
+
+class _Growing:
+    """Kept stories in indexes of falling size, so that adding is cheap."""
+
+    def __init__(self, threshold: float) -> None:
+        self.threshold = threshold
+        self.parts: list[tuple[list[np.ndarray], _Index]] = []
+
+    def first_near(self, tokens: np.ndarray) -> int | None:
+        """The number of the first kept story that is near, if any."""
+        before = 0
+        for stories, index in self.parts:
+            near = index.first_near(tokens)
+            if near is not None:
+                return before + near
+            before += len(stories)
+        return None
+
+    def add(self, stories: list[np.ndarray]) -> None:
+        if not stories:
+            return
+        while self.parts and len(self.parts[-1][0]) <= 2 * len(stories):
+            stories = self.parts.pop()[0] + stories
+        self.parts.append((stories, _Index(stories, self.threshold)))
+
+
+def _stories(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The coded tokens of every row."""
+    column = batch.column("tokens")
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1]) if len(ends) else []
+
+
+def _with_leaders(batch: pa.RecordBatch, leaders: list[dict | None]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(c) for c in ("id", "rank", "tokens")), pa.array(leaders, _NAME)],
+        ["id", "rank", "tokens", "leader"])
+
+
+_CODED = f"id string, rank long, tokens array<long>, {_LEADER}"
+
+
+def _scanned_codes(rows: DataFrame, threshold: float, tuning: Tuning) -> DataFrame:
+    """Like :func:`_scanned` over coded tokens.  It ends before the last row where the
+    kept stories have ``tuning.held`` tokens; later rows do not come out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, names, held = _Growing(threshold), [], 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, tuning.block):
+                if held >= tuning.held:
+                    break
+                part = batch.slice(start, tuning.block)
+                stories = _stories(part)
+                leaders = [kept.first_near(own) for own in stories]
+                own_names = [{"rank": rank, "id": name} for rank, name in zip(
+                    part.column("rank").to_pylist(), part.column("id").to_pylist())]
+                out = [None if k is None else names[k] for k in leaders]
+                # What is near none of the stories before this part is compared inside it.
+                rows_left = [i for i, k in enumerate(leaders) if k is None]
+                index = _Index([stories[i] for i in rows_left], threshold)
+                stays = np.zeros(len(rows_left), bool)
+                for k, i in enumerate(rows_left):
+                    near = np.flatnonzero(index.near(stories[i]) & stays)
+                    if len(near):
+                        out[i] = own_names[rows_left[near[0]]]
+                    else:
+                        stays[k] = True
+                fresh = [i for i, stay in zip(rows_left, stays) if stay]
+                kept.add([stories[i] for i in fresh])
+                names += [own_names[i] for i in fresh]
+                held += sum(len(stories[i]) for i in fresh)
+                yield _with_leaders(part, out)
+
+    return (rows.select("id", "rank", "tokens").repartition(1).sortWithinPartitions("rank")
+            .mapInArrow(run, _CODED))
+
+
+def _looked_up(rest: DataFrame, leaders: DataFrame, threshold: float, tasks: int) -> DataFrame:
+    """Later stories, each with the best-ranked of the ``leaders`` that it is near.
+
+    The leaders are collected and broadcast, so there must be few of them.
+    """
+    held = leaders.select("id", "rank", "tokens").toArrow().sort_by("rank").combine_chunks()
+    stories = [own for batch in held.to_batches() for own in _stories(batch)]
+    shared = rest.sparkSession.sparkContext.broadcast(
+        (held.column("rank").to_pylist(), held.column("id").to_pylist(), _Index(stories, threshold)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, names, index = shared.value
+        for batch in batches:
+            near = [index.first_near(own) for own in _stories(batch)]
+            yield _with_leaders(batch, [None if k is None else {"rank": ranks[k], "id": names[k]}
+                                        for k in near])
+
+    # Little data and much work: dealt out by rows, not by bytes.
+    return (rest.select("id", "rank", "tokens").repartition(tasks, "rank")
+            .mapInArrow(run, _CODED))
+
+
+def _coded(stories: DataFrame) -> DataFrame:
+    """Stories with a number in place of every token; equal tokens have equal numbers."""
+    each = stories.select("id", "rank", F.explode_outer("tokens").alias("token"))
+    # Stored, so the numbers are the same whenever they are read.
+    codes = cut_lineage(each.select("token").where("token IS NOT NULL").distinct()
+                        .withColumn("code", F.monotonically_increasing_id()), "token-codes")
+    return (each.join(codes, "token", "left").groupBy("id", "rank")
+            .agg(F.collect_list("code").alias("tokens")))
+
+
+def _best(rest: DataFrame, n: int, of: int) -> DataFrame:
+    """About the ``n`` best-ranked of ``of`` stories, one at least."""
+    if of <= n:
+        return rest
+    cut = rest.agg(F.percentile_approx("rank", F.lit(n / of), F.lit(10000))).first()[0]
+    return rest.where(F.col("rank") <= cut)
 
 
 def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
@@ -244,30 +397,29 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
     sigs = cut_lineage(signatures(df, rank, lexicon), "signatures")
     # From here on ``rank`` is the place in the order of rank and id.
     places = numbered(_fold_copies(sigs), ["rank", "id"], "story-order", "place")
-    places = places.select("id", F.col("place").alias("rank"), "tokens")
-    first = tuning.first_batch
-    decided = cut_lineage(_scanned(places.where(F.col("rank") < first), threshold), "decided")
+    places = cut_lineage(places.select("id", F.col("place").alias("rank"), "tokens"), "places")
+    size = tuning.first_batch
+    decided = cut_lineage(_scanned(places.where(F.col("rank") < size), threshold), "decided")
     links = _verdicts(decided)
-    rest, cut = None, first
-    if not decided.where(F.col("rank") == first - 1).isEmpty():  # else the scan saw them all
-        prepared = cut_lineage(_prepare(places, threshold, tuning), "tokens")
-        rest = prepared.where(F.col("rank") >= first)
-        total = prepared.count()
-        decided = prepared.where(F.col("rank") < first).join(
-            decided.select("id", "leader"), "id")
-    while rest is not None:
-        leaders = decided.filter("leader IS NULL").drop("leader")
-        gone = cut_lineage(_first_leader(leaders, rest, threshold), "near-leaders")
-        links = links.unionByName(_verdicts(gone))
-        rest = cut_lineage(rest.join(gone, "id", "left_anti"), "rest")
-        if cut >= total:
+    left = places.count() - size  # else the scan saw them all
+    if left > 0:
+        coded = cut_lineage(_coded(places), "tokens")
+        leaders = decided.filter("leader IS NULL").select("rank").join(coded, "rank")
+        rest = coded.where(F.col("rank") >= size)
+    while left > 0:
+        looked_up = cut_lineage(_looked_up(rest, leaders, threshold,
+                                           math.ceil(left / tuning.task)), "near-leaders")
+        links = links.unionByName(_verdicts(looked_up.where("leader IS NOT NULL")))
+        rest = looked_up.where("leader IS NULL").drop("leader")
+        left = rest.count()
+        if not left:
             break
-        cut *= tuning.growth
-        batch = rest.filter(F.col("rank") < cut)
-        lost = _resolve(cut_lineage(_pairs_within(batch, threshold), "pairs"))
-        decided = cut_lineage(batch.join(lost, "id", "left"), "decided")
+        size = min(size * tuning.growth, tuning.batch)
+        decided = cut_lineage(_scanned_codes(_best(rest, size, left), threshold, tuning), "decided")
         links = links.unionByName(_verdicts(decided))
-        rest = rest.filter(F.col("rank") >= cut)
+        leaders = decided.where("leader IS NULL").drop("leader")
+        done, last = decided.agg(F.count("*"), F.max("rank")).first()
+        rest, left = rest.where(F.col("rank") > last), left - done
 
     out = _members(sigs).join(links, "first_id").select(
         "id", "rank", F.coalesce("leader", F.when(F.col("id") != F.col("first_id"),

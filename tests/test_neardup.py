@@ -177,3 +177,62 @@ def test_keys_are_never_broadcast(spark):
                   neardup._first_leader(stored.where("rank < 20"), stored.where("rank >= 20"), neardup.THRESHOLD)):
         plan = pairs._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("seed,tuning", [
+    (5, neardup.Tuning(first_batch=5, growth=2, batch=30, task=8, block=4)),
+    (6, neardup.Tuning(first_batch=2, growth=100, held=40, task=30, block=3)),
+])
+def test_bounded_batches_equal_the_scan(spark, seed, tuning):
+    """Batches and indexes that are full at once change nothing."""
+    df = table(spark, random_stories(seed, 130, 60, hot=0.2))
+    assert links(df, tuning=tuning) == scan(df)
+
+
+def test_late_family_lists_no_pairs(spark, monkeypatch):
+    """300 near copies that first appear after the first batch: no stored table has
+    more rows than there are tokens, where their pairs would be 44,850."""
+    rows = [(f"own{i}a own{i}b own{i}c own{i}d", "") for i in range(30)]
+    rows += [(f"alpha beta gamma delta fam{i}x", "") for i in range(300)]
+    stored = []
+    real = neardup.cut_lineage
+    monkeypatch.setattr(neardup, "cut_lineage", lambda d, name: stored.append(real(d, name)) or stored[-1])
+    df = table(spark, rows)
+    assert links(df, tuning=neardup.Tuning(first_batch=25, growth=20)) == scan(df)
+    assert max(d.count() for d in stored) <= 5 * len(rows)
+
+
+def test_open_stories_are_not_shuffled_by_key(spark, monkeypatch):
+    """A round deals every open story out once, however many tokens it has: 60
+    frequent ones made 1770 keys of a story before."""
+    words = [f"word{i}x" for i in range(60)]
+    rows = [(" ".join([f"own{i}{c}" for c in "abc"]), "") for i in range(30)]
+    rows += [(" ".join([*random.Random(i).sample(words, 12), *(f"mine{i}n{k}x" for k in range(40))]), "")
+             for i in range(60)]
+    moved = []
+    real = neardup.cut_lineage
+    monkeypatch.setattr(neardup, "cut_lineage", lambda d, name: moved.append(
+        (name, d._jdf.queryExecution().sparkPlan().toString())) or real(d, name))
+    df = table(spark, rows)
+    assert links(df, tuning=neardup.Tuning(frequent=2, first_batch=20, growth=2)) == scan(df)
+    rounds = [plan for name, plan in moved if name in ("near-leaders", "decided", "pairs")]
+    assert len(rounds) > 2 and not any("Generate explode" in plan for plan in rounds)
+
+
+@pytest.mark.parametrize("threshold", [0.375, 0.3, 0.1, 0.7, 1.0, 1 / 3])
+def test_fewest_shared_tokens(threshold):
+    sizes = neardup.np.arange(1, 400)
+    assert neardup._enough(sizes, threshold).tolist() == [
+        next(n for n in range(1, size + 1) if n / size >= threshold) for size in sizes.tolist()]
+
+
+def test_leaders_are_pairs_of_the_joins(spark):
+    """Every retelling and its leader is a pair that the joins on keys find too."""
+    df = table(spark, random_stories(12, 120, 50, hot=0.2))
+    folded = neardup._prepare(neardup._fold_copies(neardup.signatures(df, "r")), neardup.THRESHOLD,
+                              neardup.Tuning(frequent=3))
+    pairs = {(r.late.id, r.early.id) for r in neardup._pairs_within(folded, neardup.THRESHOLD).collect()}
+    first = {r.first for r in neardup._members(neardup.signatures(df, "r")).select(
+        F.col("first_id").alias("first")).collect()}
+    got = {k: v for k, v in links(df, tuning=neardup.Tuning(first_batch=10, growth=3)).items() if k in first}
+    assert {(k, v) for k, v in got.items() if v} <= pairs
