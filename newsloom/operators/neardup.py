@@ -346,7 +346,7 @@ def _scanned_codes(rows: DataFrame, threshold: float, tuning: Tuning) -> DataFra
 
 
 def _looked_up(rest: DataFrame, leaders: DataFrame, threshold: float, tasks: int) -> DataFrame:
-    """Later stories, each with the best-ranked of the ``leaders`` that it is near.
+    """Later stories, each with the best-ranked of the ``leaders`` that it is near; stored.
 
     The leaders are collected and broadcast, so there must be few of them.
     """
@@ -363,8 +363,10 @@ def _looked_up(rest: DataFrame, leaders: DataFrame, threshold: float, tasks: int
                                         for k in near])
 
     # Little data and much work: dealt out by rows, not by bytes.
-    return (rest.select("id", "rank", "tokens").repartition(tasks, "rank")
-            .mapInArrow(run, _CODED))
+    found = cut_lineage(rest.select("id", "rank", "tokens").repartition(tasks, "rank")
+                        .mapInArrow(run, _CODED), "near-leaders")
+    shared.destroy()  # else every round's index stays on all executors
+    return found
 
 
 def _coded(stories: DataFrame) -> DataFrame:
@@ -407,8 +409,7 @@ def near_duplicate_links(df: DataFrame, rank: str, threshold: float = THRESHOLD,
         leaders = decided.filter("leader IS NULL").select("rank").join(coded, "rank")
         rest = coded.where(F.col("rank") >= size)
     while left > 0:
-        looked_up = cut_lineage(_looked_up(rest, leaders, threshold,
-                                           math.ceil(left / tuning.task)), "near-leaders")
+        looked_up = _looked_up(rest, leaders, threshold, math.ceil(left / tuning.task))
         links = links.unionByName(_verdicts(looked_up.where("leader IS NOT NULL")))
         rest = looked_up.where("leader IS NULL").drop("leader")
         left = rest.count()

@@ -236,3 +236,13 @@ def test_leaders_are_pairs_of_the_joins(spark):
         F.col("first_id").alias("first")).collect()}
     got = {k: v for k, v in links(df, tuning=neardup.Tuning(first_batch=10, growth=3)).items() if k in first}
     assert {(k, v) for k, v in got.items() if v} <= pairs
+
+
+def test_collapse_keeps_the_first_of_a_late_family(spark, monkeypatch):
+    """Batches are not resolved by pairs, however late a family appears."""
+    rows = [(f"own{i}a own{i}b own{i}c own{i}d", "") for i in range(30)]
+    rows += [(f"alpha beta gamma delta fam{i}x", "") for i in range(100)] + [C, D]
+    monkeypatch.setattr(neardup, "_pairs_within", None)
+    kept = neardup.collapse_near_duplicates(table(spark, rows), "r",
+                                            tuning=neardup.Tuning(first_batch=25, growth=3))
+    assert {r.article_id for r in kept.collect()} == {f"{i:032x}" for i in [*range(31), 130, 131]}
